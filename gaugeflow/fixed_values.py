@@ -59,7 +59,12 @@ MISSING_MARKERS = [
 NUMBER_PATTERN = r"^[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?)$"
 LATITUDE_PATTERN = r"\(([^,]+),"
 LONGITUDE_PATTERN = r",\s*([^)]+)\)"
-EDGE_SPACE_PATTERN = r"(?U)^\s+|\s+$"
+# Characters taken off at both ends of a text.
+WHITE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 MODEL_FILE_PATTERN = r"^(.*)_v([^_]*)$"
 
 # --- fixed values: value bounds per metric type ---------------------------------------------------

@@ -31,11 +31,13 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     mode: str = "exact",
-    direct_rows: int = DIRECT_ROWS,
+    rows: int | None = None,
+    direct_rows: int | None = None,
     bracket_values: int = BRACKET_VALUES,
 ) -> tuple[DataFrame, bool]:
     """One row per group with ``columns`` holding arrays of the quantiles at ``probs`` (null if no value).
 
+    ``rows`` is an upper bound of the row count where the caller knows one; otherwise rows are counted.
     ``mode="approx"`` takes one pass with a bounded error. The second result tells whether the table was
     checked to be small enough to broadcast.
     """
@@ -45,19 +47,19 @@ def quantiles(
             for c in columns
         ]
         return pin_small(df.groupBy(*by).agg(*aggs))
-    if df.count() <= direct_rows:
+    if (df.count() if rows is None else rows) <= (DIRECT_ROWS if direct_rows is None else direct_rows):
         aggs = [F.percentile(quoted(c).cast("double"), list(probs)).alias(c) for c in columns]
         return pin_small(df.groupBy(*by).agg(*aggs))
     return pin_small(searched_quantiles(df, columns, probs, by, bracket_values))
 
 
 def quantile_values(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], mode: str = "exact"
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], mode: str = "exact", rows: int | None = None
 ) -> dict[str, list[float] | None]:
     """Ungrouped quantiles as plain numbers: a result of fixed size, used as literals in projections."""
     if not columns:
         return {}
-    table, _ = quantiles(df, columns, probs, mode=mode)
+    table, _ = quantiles(df, columns, probs, mode=mode, rows=rows)
     row = table.first()
     return {c: row[c] for c in columns}
 

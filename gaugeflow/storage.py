@@ -38,6 +38,18 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
+    """Spread a scan of a few files that cannot be split over all cores.
+
+    Only scans with fewer partitions than cores are shuffled, so tables of many files are left alone.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if not min_bytes <= size <= cores * (128 << 20) or df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores)
+
+
 def pin_small(df: DataFrame, label: str = "stats", max_rows: int = SMALL_TABLE_ROWS) -> tuple[DataFrame, bool]:
     """Evaluate a statistics table once.
 
