@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from gaugeflow.catalog import preparation  # noqa: F401
+from gaugeflow.catalog.registry import QUERIES, TWINS  # noqa: F401

@@ -117,3 +117,8 @@ def leakage_report(df: DataFrame, target: str, start: str = fv.YEAR_START, end:
         F.lit("correlation").alias("warning"), F.col("feature").alias("column"), F.col("correlation").alias("value")
     )
     return listed.unionByName(high)
+
+
+def with_row_hash(df: DataFrame, output: str = "row_id") -> DataFrame:
+    """A row id made of all columns, for tables without a key. Equal rows get equal ids, so they never split."""
+    return df.withColumn(output, F.md5(F.concat_ws("|", *[F.coalesce(quoted(c).cast("string"), F.lit("~")) for c in df.columns])))

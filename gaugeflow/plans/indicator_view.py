@@ -66,7 +66,7 @@ def indicator_view(spark: SparkSession, folder: str, copies: bool = True) -> Dat
         F.when(no_limit != 0, value * 0.96).alias("LowConfidenceLimit"),
         F.when(no_limit != 1, value * 1.04).alias("HighConfidenceLimit"),
         F.when(group_noise == 0, F.lit(None)).when(group_noise == 1, F.lit(" \t "))
-        .when(group_noise == 2, F.concat(F.lit("\t"), segment, F.lit(" ")))
+        .when(group_noise == 2, F.concat(F.lit("\t"), segment, F.lit("\u00a0")))
         .when(group_noise == 3, F.concat(F.lit("  "), segment)).otherwise(segment).alias("Stratification1"),
         F.when(group_noise == 4, F.lit(None)).otherwise(F.lit("Segment")).alias("StratificationCategory1"),
         F.lit(None).cast("string").alias("Stratification2"),

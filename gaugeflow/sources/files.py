@@ -34,7 +34,9 @@ def read_indicators(
 
 
 def write_features_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    writer = df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"')
+    # White space at the ends of a text is data.
+    writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
