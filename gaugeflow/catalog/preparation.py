@@ -8,19 +8,18 @@ from gaugeflow import fixed_values as fv
 from gaugeflow.catalog.data import row_form, stored_features, stored_view, table
 from gaugeflow.catalog.registry import query, rounded
 from gaugeflow.catalog.twins import (
-    CENTROIDS, CLEANED, COERCED, COLUMNS, FEATURE_DOUBLES, FEATURE_NUMBERS, INDICATORS, TEXTS, coordinate,
+    CENTROIDS, CLEANED, COLUMNS, FEATURE_DOUBLES, FEATURE_NUMBERS, INDICATORS, TEXTS, coordinate,
     features_from, normalised, num, number, region, rnd, select_rounded, share, text,
 )
-from gaugeflow.functions.scalars import quoted, type_bounds
+from gaugeflow.functions.scalars import type_bounds
 from gaugeflow.operators import columns as ops
 from gaugeflow.operators import lookups
-from gaugeflow.operators.ranking import last_n
+from gaugeflow.operators.split import split_train_val_test
 from gaugeflow.plans.clean import extreme_flag
 from gaugeflow.sources.files import read_indicators, read_parquet, write_features_csv, write_parquet
 from gaugeflow.storage import new_path
 
 VIEW = f"WITH {INDICATORS}\n"
-PLAIN = ", ".join(f'"{c}"' for c in COLUMNS)
 
 
 # --- sources ------------------------------------------------------------------------------------
@@ -237,7 +236,6 @@ WITH shared AS (SELECT event_id, value, {share(42, "event_id")} AS s FROM events
 SELECT event_id, value, CASE WHEN s < {num(1.0 - 0.1 - 0.2)} THEN 'train' ELSE 'val' END AS split
 FROM shared WHERE s < {num(1.0 - 0.1 - 0.2 + 0.1)}""")
 def _union_train_val(spark, folder):
-    from gaugeflow.operators.split import split_train_val_test
     # The target range filter keeps every event here, so the union is the whole of both parts.
     parts = split_train_val_test(table(spark, folder, "events").select("event_id", "value"), "value", "event_id")
     return lookups.union_parts(parts.where("split = 'train'"), parts.where("split = 'val'"))
@@ -258,5 +256,3 @@ def _count_duplicates(spark, folder):
 def _distinct_values(spark, folder):
     return lookups.distinct_values(table(spark, folder, "part"), "p_name")
 
-
-__all__ = ["COERCED", "PLAIN", "VIEW", "last_n", "quoted"]
