@@ -47,4 +47,3 @@ def row_form(features: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["indicator_view", "kept", "row_form", "stored_features", "stored_view", "table"]

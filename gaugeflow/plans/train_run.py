@@ -25,6 +25,7 @@ class TrainRun:
     cv: dict | None = None
     search: list[dict] = field(default_factory=list)
     paths: dict[str, str] = field(default_factory=dict)
+    leakage: list[dict] = field(default_factory=list)
 
 
 def train_val(parts: DataFrame) -> DataFrame:
@@ -38,6 +39,7 @@ def train_run(
     grid: Mapping[str, Sequence] | None = None, draws: int = fv.SEARCH_DRAWS, folds: int = fv.FOLDS,
     validate: bool = True, seed: int = 42,
 ) -> TrainRun:
+    leakage = [r.asDict() for r in leakage_report(df.drop(*drop, row_id), target).collect()]  # a few rows per column
     parts = materialise(split_train_val_test(df, target, row_id, drop, seed=seed), "split")
     features = [c for c in numeric_columns(parts) if c not in (target, row_id)]
     forest = Forest(settings=dict(settings or fv.FOREST_SETTINGS))
@@ -52,7 +54,7 @@ def train_run(
     reloaded = load_forest(df.sparkSession, folder, name, version)
     if reloaded.features != forest.features:
         raise RuntimeError("the reloaded model has other features than the saved one")
-    return TrainRun(reloaded, parts, metrics, cv, search, paths)
+    return TrainRun(reloaded, parts, metrics, cv, search, paths, leakage)
 
 
 def model_report(run: TrainRun, top: int = 10) -> DataFrame:
@@ -72,8 +74,6 @@ def model_report(run: TrainRun, top: int = 10) -> DataFrame:
         F.lit((run.cv or {}).get("mse_mean")).cast("double").alias("cv_mse_mean"),
         F.lit((run.cv or {}).get("mse_std")).cast("double").alias("cv_mse_std"),
         F.lit(", ".join(f"{k}={v}" for k, v in best.items())).alias("best_settings"),
-        F.array(*[F.lit(f) for f in heaviest]).alias("top_features"),
+        F.lit(len(run.leakage)).alias("n_leakage_warnings"),
+        F.lit("; ".join(heaviest)).alias("top_features"),
     )
-
-
-__all__ = ["TrainRun", "leakage_report", "model_report", "train_run", "train_val"]

@@ -9,6 +9,8 @@ PREDICTION_LOG = (
     "timestamp timestamp, prediction double, confidence_lower double, confidence_upper double,"
     " processing_time_ms double, features_used int, missing_features int"
 )
+# The default format would cut times to milliseconds.
+TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 ALERT_LOG = "severity string, title string, message string, timestamp timestamp, source string, data string"
 
 
@@ -27,16 +29,16 @@ def prediction_records(scored: DataFrame, features_used: int) -> DataFrame:
 
 
 def append_predictions(records: DataFrame, path: str) -> None:
-    records.write.mode("append").json(path)
+    records.write.mode("append").option("timestampFormat", TIME_FORMAT).json(path)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(PREDICTION_LOG).json(path)
+    return spark.read.schema(PREDICTION_LOG).option("timestampFormat", TIME_FORMAT).json(path)
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
-    alerts.write.mode("append").json(path)
+    alerts.write.mode("append").option("timestampFormat", TIME_FORMAT).json(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ALERT_LOG).json(path)
+    return spark.read.schema(ALERT_LOG).option("timestampFormat", TIME_FORMAT).json(path)

@@ -16,6 +16,7 @@ from gaugeflow import fixed_values as fv
 from gaugeflow.functions.scalars import quoted
 from gaugeflow.operators.alerts import severity_filter
 from gaugeflow.operators.drift import judged, reference_stats_join
+from gaugeflow.sources.logs import TIME_FORMAT
 from gaugeflow.storage import new_path
 
 
@@ -117,7 +118,7 @@ def alert_stream(
     """
     def write(batch: DataFrame, number: int) -> None:
         alerts = severity_filter(to_alerts(batch), minimum)
-        alerts.write.mode("overwrite").json(f"{log_path}/batch={number}")
+        alerts.write.mode("overwrite").option("timestampFormat", TIME_FORMAT).json(f"{log_path}/batch={number}")
 
     return (
         reports.writeStream.foreachBatch(write).outputMode("append")
@@ -128,12 +129,6 @@ def alert_stream(
 def score_stream(rows: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str | None = None) -> StreamingQuery:
     """Score arriving rows with a fitted model and append them as JSON lines."""
     return (
-        score(rows).writeStream.format("json").option("path", path).outputMode("append")
+        score(rows).writeStream.format("json").option("timestampFormat", TIME_FORMAT).option("path", path).outputMode("append")
         .option("checkpointLocation", checkpoint or f"{path}-progress").trigger(availableNow=True).start()
     )
-
-
-__all__ = [
-    "alert_stream", "drift_stream", "outlier_stream", "prediction_volume", "read_stream",
-    "run_available", "score_stream", "utc_time", "window_start",
-]
