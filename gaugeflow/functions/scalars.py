@@ -92,25 +92,34 @@ def flag(condition: Column) -> Column:
     return F.coalesce(condition.cast("int"), F.lit(0))
 
 
+def bounds_ladder(column: str):
+    """The lines of bounds that apply to a column, or None for a column without bounds."""
+    if "confidence" in column.lower():
+        return fv.LIMIT_BOUNDS
+    return fv.VALUE_BOUNDS if column in ("DataValue", "DataValueAlt") else None
+
+
+def ladder_line(type_col: Column, ladder) -> Column:
+    """Number of the first line with a word of the metric-type label; one past the end if none has."""
+    label = F.lower(type_col)
+    line = F.lit(len(ladder))
+    for i, (words, _, _) in reversed(list(enumerate(ladder))):
+        hit = F.lit(False)
+        for word in words:
+            hit = hit | label.contains(word)
+        line = F.when(hit, F.lit(i)).otherwise(line)
+    return line
+
+
+def line_bounds(line: Column, ladder) -> tuple[Column, Column]:
+    rows = [*ladder, ([], *fv.OTHER_BOUNDS)]
+    return tuple(F.get(F.array(*[F.lit(row[side]) for row in rows]), line) for side in (1, 2))
+
+
 def type_bounds(type_col: Column, column: str) -> tuple[Column, Column] | None:
     """Lower and upper bound for a value column, chosen by the words in its metric-type label.
 
     Only the value and confidence columns have bounds; other columns give None.
     """
-    if "confidence" in column.lower():
-        ladder = fv.LIMIT_BOUNDS
-    elif column in ("DataValue", "DataValueAlt"):
-        ladder = fv.VALUE_BOUNDS
-    else:
-        return None
-    label = F.lower(type_col)
-    bounds = []
-    for side in (0, 1):
-        expr = F.lit(fv.OTHER_BOUNDS[side])
-        for words, low, high in reversed(ladder):
-            hit = F.lit(False)
-            for word in words:
-                hit = hit | label.contains(word)
-            expr = F.when(hit, F.lit((low, high)[side])).otherwise(expr)
-        bounds.append(expr)
-    return bounds[0], bounds[1]
+    ladder = bounds_ladder(column)
+    return None if ladder is None else line_bounds(ladder_line(type_col, ladder), ladder)

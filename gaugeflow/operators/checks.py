@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gaugeflow import fixed_values as fv
-from gaugeflow.functions.scalars import as_number, numeric_columns, percent, quoted, type_bounds
+from gaugeflow.functions.scalars import (
+    as_number, bounds_ladder, ladder_line, line_bounds, numeric_columns, percent, quoted,
+)
 from gaugeflow.operators.lookups import count_duplicates, schema_diff, unexpected_members
 from gaugeflow.operators.profile import (
     not_empty, null_profile, numeric_validity, report_rows, stratification_columns, stratification_profile,
@@ -38,18 +40,18 @@ def range_check_by_type(
 ) -> DataFrame:
     """Per column and metric type: values outside the type's bounds, their range and first samples."""
     cols = [c for c in columns if c in df.columns]
-    judged = []
-    for c in cols:
-        low, high = type_bounds(quoted(type_col), c)
-        judged.append(F.struct(
-            F.lit(c).alias("column"), as_number(df, c).cast("double").alias("v"),
-            low.alias("low"), high.alias("high"),
-        ))
-    long = (
-        df.where(quoted(type_col).isNotNull())
-        .select(quoted(type_col).alias("type"), F.inline(F.array(*judged)))
-        .where(F.col("v").isNotNull())
+    # The label is matched once per row and ladder; the lines then give the bounds of every column.
+    lined = df.where(quoted(type_col).isNotNull()).select(
+        quoted(type_col).alias("type"), *[as_number(df, c).cast("double").alias(f"v{i}") for i, c in enumerate(cols)],
+        ladder_line(quoted(type_col), fv.VALUE_BOUNDS).alias("value_line"),
+        ladder_line(quoted(type_col), fv.LIMIT_BOUNDS).alias("limit_line"),
     )
+    judged = []
+    for i, c in enumerate(cols):
+        ladder = bounds_ladder(c)
+        low, high = line_bounds(F.col("value_line" if ladder is fv.VALUE_BOUNDS else "limit_line"), ladder)
+        judged.append(F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("v"), low.alias("low"), high.alias("high")))
+    long = lined.select("type", F.inline(F.array(*judged))).where(F.col("v").isNotNull())
     outside = (F.col("v") < F.col("low")) | (F.col("v") > F.col("high"))
     counts = long.groupBy("column", "type", "low", "high").agg(
         F.count("*").alias("n_values"),

@@ -128,7 +128,7 @@ def cross_validate(
     jobs = [(s, k) for s in settings for k in range(folds)]
     try:
         with ThreadPool(parallelism) as pool:
-            errors = pool.map(inheritable_thread_target(fold_error), jobs)
+            errors = pool.map(inheritable_thread_target(df.sparkSession)(fold_error), jobs)
     finally:
         rows.unpersist()
     report = []

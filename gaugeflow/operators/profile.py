@@ -33,19 +33,20 @@ def not_empty(df: DataFrame, on_fail: str = "report") -> DataFrame:
 def null_profile(df: DataFrame) -> DataFrame:
     """Nulls per column plus the line ``*`` for all cells, with the warning above 30 %."""
     cols = df.columns
-    wide = df.agg(F.count("*").alias("rows"), *[
+    counts = df.agg(F.count("*").alias("rows"), *[
         F.count_if(quoted(c).isNull()).alias(f"n{i}") for i, c in enumerate(cols)
     ])
     total = sum((F.col(f"n{i}") for i in range(len(cols))), F.lit(0).cast("bigint"))
+    wide = counts.select("*", total.alias("all"), (F.col("rows") * len(cols)).alias("cells"))
     items = [(c, F.col(f"n{i}"), F.col("rows")) for i, c in enumerate(cols)]
-    items.append(("*", total, F.col("rows") * len(cols)))
-    return report_rows(wide, [
-        {
-            "column": F.lit(name), "n_null": nulls, "n_cells": cells, "null_pct": percent(nulls, cells),
-            "warning": F.coalesce(percent(nulls, cells) > fv.MAX_NULL_PERCENT, F.lit(False)),
-        }
-        for name, nulls, cells in items
+    items.append(("*", F.col("all"), F.col("cells")))
+    lines = report_rows(wide, [
+        {"column": F.lit(name), "n_null": nulls, "n_cells": cells} for name, nulls, cells in items
     ])
+    # Derived columns come after the rows are formed, which keeps the expressions small.
+    return lines.withColumn("null_pct", percent(F.col("n_null"), F.col("n_cells"))).withColumn(
+        "warning", F.coalesce(F.col("null_pct") > fv.MAX_NULL_PERCENT, F.lit(False))
+    )
 
 
 def numeric_validity(df: DataFrame, column: str = fv.VALUE, type_col: str = fv.VALUE_TYPE) -> DataFrame:

@@ -18,9 +18,9 @@ from pyspark.sql import types as T
 from gaugeflow.functions.scalars import quoted
 from gaugeflow.storage import materialise, pin_small
 
-# Rows up to which one hash map per group is accepted, and distinct values left to rank at the end.
+# Values up to which one hash map per column and group is accepted, and distinct values left to rank at the end.
 DIRECT_ROWS = 4_000_000
-BRACKET_VALUES = 200_000
+BRACKET_VALUES = 1_000_000
 SKETCH_POINTS = 2_000
 SKETCH_ACCURACY = 20_000
 
@@ -48,11 +48,29 @@ def quantiles(
         ]
         return pin_small(df.groupBy(*by).agg(*aggs))
     if (df.count() if rows is None else rows) <= (DIRECT_ROWS if direct_rows is None else direct_rows):
-        aggs = [F.percentile(quoted(c).cast("double"), list(probs)).alias(c) for c in columns]
-        return pin_small(df.groupBy(*by).agg(*aggs))
+        return pin_small(_direct_quantiles(df, columns, probs, by))
     return pin_small(searched_quantiles(df, columns, probs, by, bracket_values))
 
 
+def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """Narrow rows of keys, column number and value. Equal zeros must meet, so -0.0 becomes 0.0."""
+    keys = [f"k{i}" for i in range(len(by))]
+    cells = F.array(*[
+        F.struct(F.lit(i).alias("f"), (quoted(c).cast("double") + F.lit(0.0)).alias("v")) for i, c in enumerate(columns)
+    ])
+    return df.select(*[quoted(b).alias(k) for b, k in zip(by, keys)], F.inline(cells)), keys
+
+
+def _direct_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
+    """One ``percentile`` per group and column; the columns are merged by separate tasks."""
+    long, keys = _long_form(df, columns, by)
+    found = long.groupBy(*keys, "f").agg(F.percentile("v", list(probs)).alias("q"))
+    wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("f") == i, F.col("q"))).alias(f"q{i}") for i in range(len(columns))])
+    return wide.select(
+        *[F.col(k).alias(b) for k, b in zip(keys, by)], *[F.col(f"q{i}").alias(c) for i, c in enumerate(columns)]
+    )
+
+
 def quantile_values(
     df: DataFrame, columns: Sequence[str], probs: Sequence[float], mode: str = "exact", rows: int | None = None
 ) -> dict[str, list[float] | None]:
@@ -72,27 +90,24 @@ def searched_quantiles(
     bracket_values: int = BRACKET_VALUES,
     sketch_points: int = SKETCH_POINTS,
 ) -> DataFrame:
-    keys = [f"k{i}" for i in range(len(by))]
-    values = F.array(*[
-        F.struct(F.lit(i).alias("f"), quoted(c).cast("double").alias("v")) for i, c in enumerate(columns)
-    ])
-    # Null keys and equal zeros must group together, so keys are compared null-safely and -0.0 becomes 0.0.
-    long = (
-        df.select(*[quoted(b).alias(k) for b, k in zip(by, keys)], F.inline(values))
-        .where(F.col("v").isNotNull())
-        .withColumn("v", F.col("v") + F.lit(0.0))
-    )
+    long, keys = _long_form(df, columns, by)
+    long = long.where(F.col("v").isNotNull())
     ids = [*keys, "f", "p"]
     spots = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(q)).alias("q")) for i, q in enumerate(probs)])
-    ranges = materialise(
-        long.groupBy(*keys, "f")
-        .agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        .select(*keys, "f", "n", "low", "high", F.inline(spots))
-        .withColumn("rank", F.col("q") * (F.col("n") - 1)),
-        "quantile-ranges",
+    grid = [i / sketch_points for i in range(sketch_points + 1)]
+    # The first sketch covers the whole column, so one serves all wanted quantiles.
+    ranges = long.groupBy(*keys, "f").agg(
+        F.count("*").alias("within"), F.min("v").alias("low"), F.max("v").alias("high"),
+        F.percentile_approx("v", grid, SKETCH_ACCURACY).alias("grid"),
+    )
+    whole = materialise(ranges, "quantile-ranges").select("*", F.inline(spots)).select(
+        *ids, (F.col("q") * (F.col("within") - 1)).alias("rank"), "low", "high",
+        F.col("low").alias("outer_low"), F.col("high").alias("outer_high"), F.lit(2).alias("margin"),
+        F.lit(0).cast("bigint").alias("below"), F.lit(0).cast("bigint").alias("at_low"),
+        F.col("within").alias("inner"), F.lit(bracket_values + 1).cast("bigint").alias("distinct"), "grid",
+        F.lit(True).alias("holds"),
     )
-    wide = ranges.select(*ids, "rank", "low", "high", F.col("low").alias("outer_low"),
-                         F.col("high").alias("outer_high"), F.lit(2).alias("margin"))
+    wide = _narrowed(whole, ids, bracket_values, sketch_points)
     while True:
         counted = materialise(_count_brackets(long, wide, ids, sketch_points), "quantile-brackets")
         still_open = counted.where(~F.col("holds") | (F.col("distinct") > bracket_values))
