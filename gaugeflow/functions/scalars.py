@@ -34,13 +34,10 @@ def strip_text(c: Column) -> Column:
 def normalised_text(c: Column) -> Column:
     """Null becomes ``unknown``; text is trimmed; blank text becomes ``Unknown``.
 
-    Most texts begin and end with a printable ASCII character; those skip the slower general trim.
+    One short chain without branches: the generated code of a wide table has to stay small enough for the JIT.
     """
-    clean_ends = F.ascii(c).between(33, 126) & F.ascii(F.substring(c, -1, 1)).between(33, 126)
-    return (
-        F.when(c.isNull(), F.lit(fv.NULL_TEXT)).when(clean_ends, c)
-        .otherwise(F.coalesce(F.nullif(strip_text(c), F.lit("")), F.lit(fv.BLANK_TEXT)))
-    )
+    stripped = strip_text(F.coalesce(c, F.lit(fv.NULL_TEXT)))
+    return F.coalesce(F.nullif(stripped, F.lit("")), F.lit(fv.BLANK_TEXT))
 
 
 def nan_to_null(c: Column) -> Column:

@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 from gaugeflow.functions.scalars import quoted
 from gaugeflow.storage import materialise, pin_small
 
-# Values up to which one hash map per column and group is accepted, and distinct values left to rank at the end.
-DIRECT_ROWS = 4_000_000
+# Values of all columns together up to which hash maps per column and group are accepted, and distinct values
+# left to rank at the end.
+DIRECT_VALUES = 8_000_000
 BRACKET_VALUES = 1_000_000
 SKETCH_POINTS = 2_000
 SKETCH_ACCURACY = 20_000
@@ -32,7 +33,7 @@ def quantiles(
     by: Sequence[str] = (),
     mode: str = "exact",
     rows: int | None = None,
-    direct_rows: int | None = None,
+    direct_values: int | None = None,
     bracket_values: int = BRACKET_VALUES,
 ) -> tuple[DataFrame, bool]:
     """One row per group with ``columns`` holding arrays of the quantiles at ``probs`` (null if no value).
@@ -47,7 +48,8 @@ def quantiles(
             for c in columns
         ]
         return pin_small(df.groupBy(*by).agg(*aggs))
-    if (df.count() if rows is None else rows) <= (DIRECT_ROWS if direct_rows is None else direct_rows):
+    values = (df.count() if rows is None else rows) * len(columns)
+    if values <= (DIRECT_VALUES if direct_values is None else direct_values):
         return pin_small(_direct_quantiles(df, columns, probs, by))
     return pin_small(searched_quantiles(df, columns, probs, by, bracket_values))
 

@@ -16,6 +16,8 @@ def local_session(cpus: int | str | None = None, name: str = "gaugeflow") -> Spa
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", "8g")
+        # The JVM does not compile methods above 8000 bytes, so larger ones are better split by Spark.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

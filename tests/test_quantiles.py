@@ -45,7 +45,7 @@ def test_search_by_group_with_nulls_and_hot_group(spark):
     direct = {r["g"]: r for r in quantiles(df, ["a", "b"], PROBS, by=["g"])[0].collect()}
     searched = {
         r["g"]: r
-        for r in quantiles(df, ["a", "b"], PROBS, by=["g"], direct_rows=0, bracket_values=4)[0].collect()
+        for r in quantiles(df, ["a", "b"], PROBS, by=["g"], direct_values=0, bracket_values=4)[0].collect()
     }
     assert direct.keys() == searched.keys()
     for g, row in direct.items():
