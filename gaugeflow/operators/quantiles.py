@@ -112,7 +112,9 @@ def searched_quantiles(
     wide = _narrowed(whole, ids, bracket_values, sketch_points)
     while True:
         counted = materialise(_count_brackets(long, wide, ids, sketch_points), "quantile-brackets")
-        still_open = counted.where(~F.col("holds") | (F.col("distinct") > bracket_values))
+        # A bracket that did not shrink cannot shrink further; ranking it as it is stays exact.
+        shrinks = (F.col("margin") > 2) | (F.col("low") > F.col("outer_low")) | (F.col("high") < F.col("outer_high"))
+        still_open = counted.where(~F.col("holds") | ((F.col("distinct") > bracket_values) & shrinks))
         widest = still_open.agg(F.max("margin")).first()[0]
         if widest is None:
             break

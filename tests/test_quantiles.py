@@ -57,7 +57,7 @@ def test_search_by_group_with_nulls_and_hot_group(spark):
     assert searched["empty"]["a"] is None
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.floats(-1e9, 1e9, allow_nan=False, width=32), min_size=1, max_size=60))
 def test_search_on_any_list(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
