@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SMALL_TABLE_ROWS = 10_000
+_OWN_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -18,24 +19,42 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    folder = tempfile.mkdtemp(prefix="gaugeflow-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_FOLDERS:
+        _OWN_FOLDERS[app] = tempfile.mkdtemp(prefix="gaugeflow-")
+    return _OWN_FOLDERS[app]
 
 
-def new_path(spark: SparkSession, label: str) -> str:
-    """A fresh path in the shared folder, removed by Spark when the application ends."""
-    path = f"{shared_folder(spark)}/gaugeflow/{label}-{uuid.uuid4().hex}"
+def _located(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return path
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def new_path(spark: SparkSession, label: str) -> str:
+    """A fresh path below a folder of this application that is removed when its process ends."""
+    base = f"{shared_folder(spark)}/gaugeflow-{spark.sparkContext.applicationId}"
+    system, folder = _located(spark, base)
+    if not system.exists(folder):  # only an existing folder can be marked for removal
+        system.mkdirs(folder)
+        system.deleteOnExit(folder)
+    return f"{base}/{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once and read it back: cuts the lineage, keeps column pruning, outlives executors."""
     path = new_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    kept.kept_at = path
+    return kept
+
+
+def free(df: DataFrame) -> None:
+    """Delete the table behind a result of ``materialise`` as soon as nothing reads it any more."""
+    path = getattr(df, "kept_at", None)
+    if path:
+        system, hadoop_path = _located(df.sparkSession, path)
+        system.delete(hadoop_path, True)
 
 
 def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
