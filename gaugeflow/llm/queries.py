@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import exact_dedup, sharding, token_counts
+from gaugeflow.llm import exact_dedup, near_dedup, sharding, token_counts
 from gaugeflow.llm.tables import table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
@@ -58,3 +58,9 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
         F.crc32(text.cast("binary")).alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+@query
+def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
