@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import exact_dedup, near_dedup, sharding, token_counts
+from gaugeflow.llm import exact_dedup, near_dedup, sharding, substring_dedup, token_counts
 from gaugeflow.llm.tables import table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
@@ -64,3 +64,9 @@ def op5_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
     return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    cut = substring_dedup.remove_repeated_windows(table(spark, folder, "documents"), window=35)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
