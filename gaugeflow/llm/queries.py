@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import exact_dedup, near_dedup, sharding, substring_dedup, token_counts
+from gaugeflow.llm import exact_dedup, near_dedup, secret_scan, sharding, substring_dedup, token_counts
 from gaugeflow.llm.tables import table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
@@ -70,3 +70,16 @@ def op7_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     cut = substring_dedup.remove_repeated_windows(table(spark, folder, "documents"), window=35)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@query
+def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    ratios = secret_scan.log_ratios(secret_scan.transition_counts(secret_scan.labelled_samples(docs)))
+    found = secret_scan.scan_secrets(docs, ratios)
+    return found.select(
+        "doc_id", *[secret_scan.count_kind(F.col("base"), k).alias(f"n_{k}") for k, *_ in secret_scan.RULES],
+        F.size("added").cast("long").alias("n_markov"),
+        F.sha2(secret_scan.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        secret_scan.spans_text(F.concat("base", "added")).alias("spans"),
+    )
