@@ -41,6 +41,11 @@ def letter_digit_class() -> np.ndarray:
     return table
 
 
+def token_classes() -> np.ndarray:
+    """1: letters and digits, 2: other visible characters, 0: blanks."""
+    return np.where(letter_digit_class(), 1, np.where(space_class(), 2, 0)).astype(np.uint8)
+
+
 def lower_table() -> np.ndarray:
     """Lower-case A to Z only."""
     table = np.arange(256, dtype=np.uint8)
@@ -84,27 +89,33 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def pieces(column: pa.Array, chunk_bytes: int = CHUNK_BYTES) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def pieces(column: pa.Array, chunk_bytes: int = CHUNK_BYTES,
+           max_rows: int = 1 << 30) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Consecutive rows of about ``chunk_bytes`` text: first row, bytes, offsets from 0. A longer text is one piece."""
     data, offsets = column_bytes(column)
     row, rows = 0, len(offsets) - 1
     while row < rows:
         last = int(np.searchsorted(offsets, offsets[row] + chunk_bytes, "right")) - 1
-        last = min(max(last, row + 1), rows)
+        last = min(max(last, row + 1), rows, row + max_rows)
         yield row, data[offsets[row]:offsets[last]], offsets[row:last + 1] - offsets[row]
         row = last
 
 
 class Words:
-    """Words of a piece: byte ranges, 64-bit hashes and, per document, the range of its words."""
+    """Words of a piece: byte ranges, 64-bit hashes and, per document, the range of its words.
+
+    ``is_word`` gives the class of each byte; 0 separates, a word is a run of one other class.
+    """
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray, powers: Powers):
         n = len(data)
-        inside = np.zeros(n + 1, bool)
-        inside[:n] = is_word[data]
+        kind = np.zeros(n + 1, np.uint8)
+        kind[:n] = is_word[data]
+        inside = kind != 0
         begins, ends = inside.copy(), inside.copy()
-        begins[1:] &= ~inside[:-1]
-        ends[:-1] &= ~inside[1:]
+        changes = kind[1:] != kind[:-1]
+        begins[1:] &= changes
+        ends[:-1] &= changes
         borders = offsets[(offsets > 0) & (offsets < n)]  # documents follow each other without a blank
         begins[borders] |= inside[borders]
         ends[borders - 1] |= inside[borders - 1]

@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import exact_dedup, near_dedup, secret_scan, sharding, substring_dedup, token_counts
-from gaugeflow.llm.tables import table, whole_text
+from gaugeflow.llm import exact_dedup, language_id, near_dedup, secret_scan, sharding, substring_dedup, token_counts
+from gaugeflow.llm.tables import crc_part, table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
@@ -83,3 +83,12 @@ def op3_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(secret_scan.spans_text(F.col("base")).cast("binary"), 256).alias("base_sha256"),
         secret_scan.spans_text(F.concat("base", "added")).alias("spans"),
     )
+
+
+@query
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc_part("doc_id", 4) == 2
+    model = language_id.fit_centroids(docs, ~held_out)
+    found = language_id.predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
