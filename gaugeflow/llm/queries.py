@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import exact_dedup, language_id, near_dedup, secret_scan, sharding, substring_dedup, token_counts
+from gaugeflow.llm import exact_dedup, language_id, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
 from gaugeflow.llm.tables import crc_part, table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
@@ -92,3 +92,14 @@ def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = language_id.fit_centroids(docs, ~held_out)
     found = language_id.predict_language(docs.select("doc_id", "text"), model)
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query
+def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = crc_part("doc_id", 3) == 1
+    model = quality.fit_quality(docs, table(spark, folder, "labels"), ~held_out)
+    found = quality.score_quality(docs.select("doc_id", "text"), model)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
