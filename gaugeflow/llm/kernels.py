@@ -77,6 +77,15 @@ def running(values: np.ndarray, powers: np.ndarray) -> np.ndarray:
     return sums
 
 
+def window_hashes(values: np.ndarray, size: int, powers: Powers) -> np.ndarray:
+    """Hash of each window of ``size`` values."""
+    if len(values) < size:
+        return np.zeros(0, np.uint64)
+    up, down = powers.upto(len(values) + 1)
+    sums = running(values, up[:len(values)])
+    return mix((sums[size:] - sums[:-size]) * down[:len(values) - size + 1])
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string column; nulls count as empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -128,16 +137,12 @@ class Words:
 
     def grams(self, size: int, powers: Powers, salt: int = 0) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all sequences of ``size`` words inside one document, and the index of their first words."""
-        count = len(self.hash)
-        if count < size:
+        if len(self.hash) < size:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        values = self.hash if not salt else mix(self.hash ^ np.uint64(salt))
-        up, down = powers.upto(count + 1)
-        sums = running(values, up[:count])
-        at = np.arange(count - size + 1)
+        hashes = window_hashes(self.hash if not salt else mix(self.hash ^ np.uint64(salt)), size, powers)
         owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))
-        at = at[owner[at] == owner[at + size - 1]]
-        return mix((sums[at + size] - sums[at]) * down[at]), at
+        at = np.flatnonzero(owner[:len(hashes)] == owner[size - 1:])
+        return hashes[at], at
 
 
 def planes(values: np.ndarray) -> bytes:

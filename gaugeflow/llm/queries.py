@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import exact_dedup, language_id, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
+from gaugeflow.llm import decontaminate, exact_dedup, language_id, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
 from gaugeflow.llm.tables import crc_part, table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
@@ -103,3 +103,11 @@ def op9_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.find_contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select(
+        "doc_id", "item_id", "coverage", F.size("tiles").alias("n_tiles"), F.lit(True).alias("contaminated")
+    )
