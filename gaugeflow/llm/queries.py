@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import decontaminate, exact_dedup, language_id, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
+from gaugeflow.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
 from gaugeflow.llm.tables import crc_part, table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
@@ -111,3 +111,18 @@ def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "item_id", "coverage", F.size("tiles").alias("n_tiles"), F.lit(True).alias("contaminated")
     )
+
+
+#: Domains by the labels, and their wanted shares of all tokens.
+DOMAIN = "CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'poor' WHEN quality = 1 THEN 'good' END"
+WEIGHTS = {"good": 0.85, "poor": 0.10, "toxic": 0.05}
+
+
+@query
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = mixing.fit_domains(docs, table(spark, folder, "labels"), F.expr(DOMAIN), list(WEIGHTS))
+    found = mixing.mixture_rates(docs, model, WEIGHTS)
+    return found.select(
+        "doc_id", "n_tokens", *[F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)], "rate", "copies"
+    )
