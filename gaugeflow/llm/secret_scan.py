@@ -19,19 +19,32 @@ RULES = (
     ("access", r"AKIA[A-Z0-9]+", 0, 16),
     ("hex", r"[0-9a-f]+", 0, 32),
 )
-#: A quick test whether a rule can succeed at all.
-HINTS = (RULES[0][1], r"AKIA[A-Z0-9]{12}", r"[0-9a-f]{32}")
+#: Quick tests whether a rule can succeed at all: characters, one of which a text has to hold, and a pattern that looks
+#: for the first letter first.
+HINTS = ((":", "="), "(?=[PpSsTtAa])" + RULES[0][1]), (("AKIA",), r"AKIA[A-Z0-9]{12}"), ((), r"[0-9a-f]{32}")
 # Fixed value: characters of random strings and identifiers.
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-="
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = r"[A-Za-z_][A-Za-z0-9_]{7,}"
+CANDIDATE = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
+IDENTIFIER = r"(?<![A-Za-z0-9_])[A-Za-z_][A-Za-z0-9_]{7,}"
 #: A candidate is a secret when it is exp(15) times as likely a random string in all and exp(0.3) times per step.
 LEAST_TOTAL, LEAST_STEP = 15.0, 0.3
 MARKOV = "markov"
 NO_MATCHES = "array<struct<start:int,rank:int,end:int,kind:string,value:string>>"
 
 
-def _located(text: Column, pattern: str, hint: str, rank: int, kind: str) -> Column:
+def _possible(text: Column, hint: tuple[Sequence[str], str]) -> Column:
+    """Byte searches first; the pattern only runs where one of them hits."""
+    parts, pattern = hint
+    found = text.rlike(pattern)
+    if not parts:
+        return found
+    some = text.contains(parts[0])
+    for part in parts[1:]:
+        some = some | text.contains(part)
+    return F.when(some, found).otherwise(False)
+
+
+def _located(text: Column, pattern: str, hint: tuple[Sequence[str], str], rank: int, kind: str) -> Column:
     """All leftmost non-overlapping matches with their places: the lengths of matches and of what lies between add up."""
     rx = F.lit(pattern)
     found = F.regexp_extract_all(text, rx, F.lit(0))
@@ -49,7 +62,7 @@ def _located(text: Column, pattern: str, hint: str, rank: int, kind: str) -> Col
 
     pairs = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
     out = F.aggregate(pairs, start, step, lambda state: state["out"])
-    return F.when(text.rlike(hint), out).otherwise(F.expr(f"cast(array() as {NO_MATCHES})"))
+    return F.when(_possible(text, hint), out).otherwise(F.expr(f"cast(array() as {NO_MATCHES})"))
 
 
 def _long_enough(pattern: str, group: int, least: int):
@@ -78,9 +91,11 @@ def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
     )
     digest = F.sha2(F.col("value").cast("binary"), 256)
     random = caught.select(F.explode(F.array("value", digest, F.base64(F.unhex(digest)))).alias("value"))
-    rest = whole
-    for (_, pattern, _, _), hint in zip(RULES, HINTS):
-        rest = F.when(rest.rlike(hint), F.regexp_replace(rest, pattern, " ")).otherwise(rest)
+    cleared = whole
+    for pattern in (RULES[0][1], RULES[1][1], r"[0-9a-f]{32,}"):
+        cleared = F.regexp_replace(cleared, pattern, " ")
+    some = _possible(whole, HINTS[0]) | _possible(whole, HINTS[1]) | _possible(whole, HINTS[2])
+    rest = F.when(some, cleared).otherwise(whole)
     ordinary = docs.select(rest.alias("rest")).select(
         F.explode(F.regexp_extract_all("rest", F.lit(IDENTIFIER), F.lit(0))).alias("value")
     )
@@ -134,7 +149,7 @@ def scan_secrets(docs: DataFrame, ratios: Sequence[float], doc_id: str = "doc_id
     whole = whole_text(text)
     found = docs.select(
         F.col(doc_id).alias("doc_id"), rule_matches(whole).alias("base"),
-        _located(whole, CANDIDATE, CANDIDATE, len(RULES), MARKOV).alias("runs"),
+        _located(whole, CANDIDATE, ((), CANDIDATE), len(RULES), MARKOV).alias("runs"),
     )
     free = F.filter("runs", lambda r: ~F.exists(
         "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
