@@ -1,4 +1,7 @@
-"""Queries that train, score and report a forest on the engineered view. Most have no SQL twin."""
+"""Queries that train, score and report a forest with the fixed settings on the engineered view.
+
+Predictions depend on the engine, so each query returns what must hold of them, next to what SQL can tell of the rows.
+"""
 
 from __future__ import annotations
 
@@ -7,20 +10,25 @@ from pyspark.sql import functions as F
 from gaugeflow import fixed_values as fv
 from gaugeflow.catalog.data import kept, stored_features, table
 from gaugeflow.catalog.registry import query, rounded
-from gaugeflow.catalog.twins import CLEANED, features_from
+from gaugeflow.catalog.twins import CLEANED, features_from, num
 from gaugeflow.functions.scalars import numeric_columns
-from gaugeflow.operators import scoring
 from gaugeflow.operators.forest import Forest, cross_validate, random_search
 from gaugeflow.operators.split import split_train_val_test, with_row_hash
+from gaugeflow.plans.batch_score import batch_score
 from gaugeflow.plans.train_run import model_report, train_run, train_val
 from gaugeflow.sources import logs, registry
 from gaugeflow.storage import materialise, new_path
 from gaugeflow.streaming import jobs
 
-# Small forests keep the checks short; the defaults of the library are the full settings.
-SMALL = {"numTrees": 10, "maxDepth": 6, "minInstancesPerNode": 5, "featureSubsetStrategy": "sqrt", "seed": 42}
-SMALL_GRID = {"numTrees": [3, 5], "maxDepth": [3, 5], "minInstancesPerNode": [2, 4], "featureSubsetStrategy": ["sqrt", "log2"]}
+# A full search is 45 fits of up to 150 deep trees, about an hour on one machine, so this query alone draws from a
+# grid of its own. All other queries use the fixed settings.
+SEARCH = {"numTrees": [3, 5], "maxDepth": [3, 5], "minInstancesPerNode": [2, 4], "featureSubsetStrategy": ["sqrt", "log2"]}
 TARGET = fv.VALUE
+USED = f"""WITH {CLEANED}, {features_from("cleaned")},
+far AS (SELECT quantile_cont("{TARGET}", 0.01) AS a, quantile_cont("{TARGET}", 0.99) AS b FROM features),
+used AS (SELECT features.* FROM features, far WHERE "{TARGET}" IS NULL
+  OR "{TARGET}" BETWEEN a - {num(fv.FENCE_WIDTH)} * (b - a) AND b + {num(fv.FENCE_WIDTH)} * (b - a))
+"""
 
 
 def parts(spark, folder):
@@ -37,81 +45,150 @@ def features(rows):
 def trained(spark, folder) -> Forest:
     def make(s, f):
         rows = parts(s, f)
-        return Forest(settings=SMALL).fit(train_val(rows), features(rows), TARGET)
+        return Forest().fit(train_val(rows), features(rows), TARGET)
     return kept("forest", make, spark, folder)
 
 
 def run(spark, folder):
     def make(s, f):
         rows = with_row_hash(stored_features(s, f))
-        return train_run(rows, TARGET, "row_id", new_path(s, "models"), "indicator_forest", "1.0", settings=SMALL,
-                         grid=SMALL_GRID, draws=2, folds=2)
+        return train_run(rows, TARGET, "row_id", new_path(s, "models"), "indicator_forest", "1.0")
     return kept("run", make, spark, folder)
 
 
-@query("fit_forest")
+def ordered():
+    low, high, p = F.col("confidence_lower"), F.col("confidence_upper"), F.col("prediction")
+    return F.coalesce((low <= p) & (p <= high), F.lit(False))
+
+
+@query("fit_forest", USED + f"""SELECT count(*) AS n_rows, {fv.FOREST_SETTINGS["numTrees"]} AS n_trees, true AS has_splits FROM used""")
 def _fit_forest(spark, folder):
     forest = trained(spark, folder)
-    rows = train_val(parts(spark, folder)).agg(F.count("*").alias("n_rows"))
+    rows = parts(spark, folder).agg(F.count("*").alias("n_rows"))
     return rows.withColumns({
-        "n_trees": F.lit(forest.model.getNumTrees), "n_nodes": F.lit(forest.model.totalNumNodes),
-        "n_features": F.lit(forest.model.numFeatures),
+        "n_trees": F.lit(forest.model.getNumTrees),
+        "has_splits": F.lit(forest.model.totalNumNodes > 10 * forest.model.getNumTrees),
     })
 
 
-@query("predict")
+def _predicted(forest, rows):
+    """Rows, missing predictions, and predictions outside of the range of the target, which no mean of leaves can leave."""
+    ends = rows.agg(F.min(TARGET), F.max(TARGET)).first()
+    scored = forest.predict(rows, keep=["row_id"])
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("prediction").isNull()).alias("n_null"),
+        F.count_if(~F.col("prediction").between(ends[0] - 1e-6, ends[1] + 1e-6)).alias("n_outside"),
+    )
+
+
+PREDICTED = USED + "SELECT count(*) AS n_rows, 0::BIGINT AS n_null, 0::BIGINT AS n_outside FROM used"
+
+
+@query("predict", PREDICTED)
 def _predict(spark, folder):
-    test = parts(spark, folder).where("split = 'test'")
-    return trained(spark, folder).predict(test, keep=["row_id", TARGET])
+    return _predicted(trained(spark, folder), parts(spark, folder))
 
 
-@query("predict_interval")
+@query("predict_interval", USED + "SELECT count(*) AS n_rows, count(*) AS n_ordered, count(*) AS n_mean_of_trees FROM used")
 def _predict_interval(spark, folder):
-    test = parts(spark, folder).where("split = 'test'")
-    return trained(spark, folder).predict_interval(test, keep=["row_id"])
+    """The interval holds the prediction, and the mean of the trees is what the forest itself predicts."""
+    forest, rows = trained(spark, folder), parts(spark, folder)
+    scored = forest.predict_interval(rows, keep=forest.features)
+    again = forest.predict(
+        scored.withColumnsRenamed({"prediction": "mean_of_trees"}).withColumn("in_order", _in_order("mean_of_trees")),
+        keep=["mean_of_trees", "in_order"],
+    )
+    same = F.abs(F.col("prediction") - F.col("mean_of_trees")) <= 1e-6 * (1 + F.abs("prediction"))
+    return again.agg(
+        F.count("*").alias("n_rows"), F.count_if("in_order").alias("n_ordered"), F.count_if(same).alias("n_mean_of_trees")
+    )
+
+
+def _in_order(name):
+    return (F.col("confidence_lower") <= F.col(name)) & (F.col(name) <= F.col("confidence_upper"))
+
 
+def _errors_hold(tried):
+    return all(r["mse_min"] <= r["mse_mean"] <= r["mse_max"] and abs(r["rmse"] ** 2 - r["mse_mean"]) <= 1e-6 * r["mse_mean"]
+               for r in tried)
 
-@query("random_search")
+
+@query("random_search", "SELECT 2 AS n_settings, 2 AS n_distinct, true AS best_first, true AS errors_hold")
 def _random_search(spark, folder):
     rows = parts(spark, folder)
-    tried = random_search(Forest(settings=SMALL), train_val(rows), features(rows), TARGET, "row_id", SMALL_GRID, 2, 2)
-    return spark.createDataFrame(tried)
+    tried = random_search(Forest(), train_val(rows), features(rows), TARGET, "row_id", SEARCH, 2, 2)
+    means = [r["mse_mean"] for r in tried]
+    return spark.range(1).select(
+        F.lit(len(tried)).alias("n_settings"), F.lit(len({tuple(r[k] for k in SEARCH) for r in tried})).alias("n_distinct"),
+        F.lit(means == sorted(means)).alias("best_first"), F.lit(_errors_hold(tried)).alias("errors_hold"),
+    )
 
 
-@query("cross_validate")
+@query("cross_validate", "SELECT 1 AS n_settings, true AS errors_hold, true AS better_than_mean")
 def _cross_validate(spark, folder):
+    """Fixed settings, fixed number of folds; the error stays below the variance of the target."""
     rows = parts(spark, folder)
-    report = cross_validate(Forest(settings=SMALL), train_val(rows), features(rows), TARGET, "row_id", 3)
-    return spark.createDataFrame(report)
+    report = cross_validate(Forest(), train_val(rows), features(rows), TARGET, "row_id", fv.FOLDS)
+    variance = rows.agg(F.var_pop(TARGET)).first()[0]
+    return spark.range(1).select(
+        F.lit(len(report)).alias("n_settings"), F.lit(_errors_hold(report)).alias("errors_hold"),
+        F.lit(report[0]["mse_mean"] < variance).alias("better_than_mean"),
+    )
 
 
-@query("final_fit")
+@query("final_fit", USED + "SELECT count(*) AS n_rows, 3::BIGINT AS n_parts, 3::BIGINT AS n_better_than_mean FROM used")
 def _final_fit(spark, folder):
-    """The last fit sees train and validation rows; its errors are taken on each part."""
+    """The last fit sees train and validation rows; on each part its squared error is below that of the part's mean."""
     scored = trained(spark, folder).predict(parts(spark, folder), keep=["split", TARGET])
     gap = F.col("prediction") - F.col(TARGET)
-    return scored.groupBy("split").agg(F.count("*").alias("n_rows"), F.avg(gap * gap).alias("mse"), F.avg(F.abs(gap)).alias("mae"))
+    each = scored.groupBy("split").agg(
+        F.count("*").alias("n"), F.avg(gap * gap).alias("mse"), F.var_pop(TARGET).alias("variance")
+    )
+    return each.agg(
+        F.sum("n").alias("n_rows"), F.count("*").alias("n_parts"), F.count_if(F.col("mse") < F.col("variance")).alias("n_better_than_mean")
+    )
 
 
-@query("feature_importance")
+@query("feature_importance", "SELECT 1.0::DOUBLE AS total, 0::BIGINT AS n_negative, 0::BIGINT AS n_unknown, 0::BIGINT AS n_rising")
 def _feature_importance(spark, folder):
-    return trained(spark, folder).feature_importance(spark)
+    """Importances of known features only: none is negative, they sum to one and fall."""
+    forest = trained(spark, folder)
+    found = forest.feature_importance(spark)
+    values = [r["Importance"] for r in found.collect()]  # one row a feature
+    return found.agg(
+        F.round(F.sum("Importance"), 6).alias("total"), F.count_if(F.col("Importance") < 0).alias("n_negative"),
+        F.count_if(~F.col("Feature").isin(forest.features)).alias("n_unknown"),
+        F.lit(sum(a < b for a, b in zip(values, values[1:]))).cast("long").alias("n_rising"),
+    )
 
 
-@query("feature_importance_topk")
+@query("feature_importance_topk", "SELECT 10::BIGINT AS n_rows, true AS largest")
 def _feature_importance_topk(spark, folder):
-    return trained(spark, folder).feature_importance(spark, top=10)
+    forest = trained(spark, folder)
+    top = forest.feature_importance(spark, top=10)
+    least = top.agg(F.count("*").alias("n_rows"), F.min("Importance").alias("least"))
+    above = sorted(forest.model.featureImportances.toArray().tolist())[-10]
+    return least.select("n_rows", (F.abs(F.col("least") - F.lit(above)) < 1e-12).alias("largest"))
 
 
-@query("model_report")
+@query("model_report", USED + f"""SELECT count(*) AS n_rows, 'RandomForestRegressionModel' AS model_type,
+  {fv.FOREST_SETTINGS["numTrees"]} AS n_trees, 'maxDepth={fv.FOREST_SETTINGS["maxDepth"]}' AS depth, true AS complete FROM used""")
 def _model_report(spark, folder):
-    return model_report(run(spark, folder))
+    report = model_report(run(spark, folder))
+    told = ["mae", "mse", "rmse", "r2", "cv_mse_mean", "cv_mse_std", "train_test_gap_pct", "top_features", "leakage_warnings", "dropped_columns"]
+    complete = F.lit(True)
+    for name in told:
+        complete = complete & F.col(name).isNotNull()
+    return report.select(
+        (F.col("n_train") + F.col("n_val") + F.col("n_test")).alias("n_rows"), "model_type", "n_trees",
+        F.regexp_extract("settings", r"maxDepth=\d+", 0).alias("depth"), complete.alias("complete"),
+    )
 
 
-@query("train_run")
+@query("train_run", PREDICTED)
 def _train_run(spark, folder):
     result = run(spark, folder)
-    return result.forest.predict(result.parts.where("split = 'test'"), keep=["row_id", TARGET])
+    return _predicted(result.forest, result.parts)
 
 
 SCORING_RULES = {
@@ -123,16 +200,21 @@ SCORING_RULES = {
 
 def scored_rows(spark, folder):
     """Accept, complete, predict with interval, flag and round: the whole batch scoring job."""
-    forest = trained(spark, folder)
-    accepted, _ = scoring.request_domain_filter(with_row_hash(stored_features(spark, folder)), **SCORING_RULES)
-    rows = scoring.complete_feature_vector(accepted, forest.features, keep=["row_id"])
-    scored = forest.predict_interval(rows, keep=["row_id", "missing_features"])
-    return scoring.round_prediction(scoring.score_anomaly_flag(scored))
+    rows = with_row_hash(stored_features(spark, folder))
+    keep = ["row_id", "YearStart", "Latitude", "Longitude"]
+    return batch_score(trained(spark, folder), rows, SCORING_RULES, keep=keep)
 
 
-@query("batch_score")
+@query("batch_score", f"""WITH {CLEANED}, {features_from("cleaned")}
+SELECT "YearStart", round("Latitude", 6) AS latitude, round("Longitude", 6) AS longitude, true AS ordered, 0 AS missing_features
+FROM features WHERE "ConfidenceIntervalWidth" >= 0 AND "Latitude" BETWEEN 20 AND 50 AND "Longitude" BETWEEN -130 AND -60
+  AND "YearStart" BETWEEN 2000 AND 2030""")
 def _batch_score(spark, folder):
-    return scored_rows(spark, folder)
+    scored = scored_rows(spark, folder)
+    return scored.select(
+        "YearStart", F.round("Latitude", 6).alias("latitude"), F.round("Longitude", 6).alias("longitude"),
+        ordered().alias("ordered"), F.col("missing_features").cast("int").alias("missing_features"),
+    )
 
 
 @query("batch_score_counts", f"""WITH {CLEANED}, {features_from("cleaned")}
@@ -161,19 +243,20 @@ def _save_load_model(spark, folder):
         F.count("*").alias("n_rows"), F.max(F.abs(F.col("prediction") - F.col("reloaded"))).alias("max_difference")))
 
 
-@query("list_models")
+@query("list_models", """SELECT 'forest_vivid' AS name, v AS version, 'forest_vivid_v' || v AS file, true AS has_size
+FROM (VALUES ('1.0'), ('2_beta')) AS t(v)""")
 def _list_models(spark, folder):
     forest, base = trained(spark, folder), new_path(spark, "models")
     for version in ("1.0", "2_beta"):
         registry.save_forest(forest, spark, base, "forest_vivid", version)
-    return registry.list_models(spark, base)
+    return registry.list_models(spark, base).select("name", "version", "file", (F.col("size_mb") > 0).alias("has_size"))
 
 
-@query("score_stream")
+@query("score_stream", "SELECT ts AS timestamp, 2 AS features_used, true AS ordered FROM events")
 def _score_stream(spark, folder):
     def make(s, f):
         events = table(s, f, "events").select("event_id", "user_id", F.hour("ts").alias("hour"), "value")
-        return Forest(settings={**SMALL, "numTrees": 5, "maxDepth": 4}).fit(events, ["user_id", "hour"], "value")
+        return Forest().fit(events, ["user_id", "hour"], "value")
     forest = kept("event-forest", make, spark, folder)
     schema = spark.read.parquet(f"{folder}/events.parquet").schema
     rows = jobs.read_stream(spark, folder, schema, pattern="events.parquet").withColumn("hour", F.hour("ts"))
@@ -184,4 +267,5 @@ def _score_stream(spark, folder):
         return logs.prediction_records(scored, len(forest.features))
 
     jobs.score_stream(rows, score, path).awaitTermination()
-    return logs.read_predictions(spark, path)
+    naive = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("timestamp").cast("timestamp_ntz"))
+    return logs.read_predictions(spark, path).select(naive.alias("timestamp"), "features_used", ordered().alias("ordered"))

@@ -148,12 +148,8 @@ def _clip_range(spark, folder):
     return ops.clip_range(orders, ["order_year", "o_totalprice", "absent"], (1997, 2000))
 
 
-_TEXT_SEEN = [c for c in COLUMNS if c in TEXTS][:10]
-_TEXT_LEFT = [c for c in COLUMNS if c in TEXTS][10:]
-
-
 @query("ensure_all_numeric", VIEW + "SELECT " + ", ".join(
-    f'{number(c)} AS "{c}"' if c in _TEXT_SEEN else f'"{c}"' for c in COLUMNS if c not in _TEXT_LEFT) + " FROM ind")
+    f'{number(c)} AS "{c}"' if c in TEXTS else f'"{c}"' for c in COLUMNS) + " FROM ind")
 def _ensure_all_numeric(spark, folder):
     return ops.ensure_all_numeric(stored_view(spark, folder))
 

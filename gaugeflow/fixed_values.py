@@ -65,7 +65,7 @@ WHITE_SPACE = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-MODEL_FILE_PATTERN = r"^(.*)_v([^_]*)$"
+MODEL_FILE_PATTERN = r"^(.*)_v(.*)$"
 
 # --- fixed values: value bounds per metric type ---------------------------------------------------
 # (words looked for in the lower-cased type label, low, high); the first line that matches counts.

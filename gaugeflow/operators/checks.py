@@ -23,10 +23,11 @@ REPORT = "check string, subject string, metric string, value double, text string
 
 
 def raise_on(report: DataFrame, failed: Column, message: str, label: str) -> DataFrame:
-    """Raise with a few failing subjects named, else hand the report on."""
-    bad = [r[0] for r in report.where(failed).select(F.col(label).cast("string")).take(5)]
-    if bad:
-        raise ValueError(f"{message}: {bad}")
+    """Raise with the number of failing subjects and a few of them named, else hand the report on."""
+    bad = report.where(failed).select(F.col(label).cast("string"))
+    named = [r[0] for r in bad.take(5)]
+    if named:
+        raise ValueError(f"{message}: {bad.count()} in all, among them {named}")
     return report
 
 

@@ -98,8 +98,9 @@ def drop_non_numeric(df: DataFrame) -> DataFrame:
     return df.select(*[quoted(c) for c in numeric_columns(df)])
 
 
-def ensure_all_numeric(df: DataFrame, max_coerced: int = 10) -> DataFrame:
-    """Read the first text columns as numbers and drop every further one."""
+def ensure_all_numeric(df: DataFrame, max_coerced: int | None = None) -> DataFrame:
+    """Read text columns as numbers. With ``max_coerced``, only the first ones; every further one is dropped."""
     text = text_columns(df)
-    df = replace_columns(df, {c: to_number(quoted(c)) for c in text[:max_coerced]})
-    return df.drop(*text[max_coerced:])
+    coerced = text if max_coerced is None else text[:max_coerced]
+    df = replace_columns(df, {c: to_number(quoted(c)) for c in coerced})
+    return df.drop(*text[len(coerced):])

@@ -12,20 +12,26 @@ from gaugeflow import fixed_values as fv
 from gaugeflow.functions.scalars import flag, quoted
 from gaugeflow.operators.columns import replace_columns
 from gaugeflow.operators.profile import value_counts_topk
+from gaugeflow.operators.ranking import numbered_rows
 
 MAX_CATEGORIES = 5_000
 OTHER = "Other"
 
 
 def column_names(prefix: str, values: Sequence[str]) -> list[str]:
-    """Output names in order. Dots become ``_``; a name that differs from an earlier one only in case gets a
-    number, because Spark resolves column names without regard to case."""
+    """Output names in order. Dots become ``_``; a name that differs from an earlier one only in case gets the first
+    free number, because Spark resolves column names without regard to case. Plain names come before made ones."""
+    plain = [f"{prefix}_{value}".replace(".", "_") for value in values]
+    taken = {name.lower() for name in plain}
+    used: set[str] = set()
     names: list[str] = []
-    seen: dict[str, int] = {}
-    for value in values:
-        name = f"{prefix}_{value}".replace(".", "_")
-        seen[name.lower()] = seen.get(name.lower(), 0) + 1
-        names.append(name if seen[name.lower()] == 1 else f"{name}_{seen[name.lower()]}")
+    for name in plain:
+        made, number = name, 1
+        while made.lower() in used or (number > 1 and made.lower() in taken):
+            number += 1
+            made = f"{name}_{number}"
+        used.add(made.lower())
+        names.append(made)
     return names
 
 
@@ -47,6 +53,17 @@ def one_hot(
     return df.select(*kept, *dummies)
 
 
+def category_codes(df: DataFrame, column: str, output: str | None = None) -> DataFrame:
+    """The sparse form for any number of categories: the rank of the value among the sorted distinct ones, null kept.
+
+    The categories are a numbered table and are joined, so none has to become a column.
+    """
+    values = df.select(quoted(column).alias("__value")).where("__value IS NOT NULL").distinct()
+    codes = numbered_rows(values, ["__value"], "__code").select("__value", (F.col("__code") - 1).alias("__code"))
+    joined = df.join(codes, quoted(column) == F.col("__value"), "left")
+    return joined.withColumn(output or f"{column}_code", F.col("__code")).drop("__value", "__code")
+
+
 def frequent_values(df: DataFrame, column: str, k: int = fv.TOP_CATEGORIES) -> list[str] | None:
     """The k most frequent values, or None when there are no more than k."""
     top = [r["value"] for r in value_counts_topk(df, column, k + 1).collect()]

@@ -55,8 +55,7 @@ def centroid_fill(
 
 def split_overlap(train: DataFrame, test: DataFrame, row_id: str) -> DataFrame:
     """Row ids that are in both parts, with their number of test rows."""
-    ids = train.select(quoted(row_id)).distinct()
-    return test.join(ids, row_id, "left_semi").groupBy(row_id).agg(F.count("*").alias("n_rows"))
+    return test.join(train.select(quoted(row_id)), row_id, "left_semi").groupBy(row_id).agg(F.count("*").alias("n_rows"))
 
 
 def unexpected_members(df: DataFrame, column: str = "LocationAbbr", allowed: Sequence[str] = fv.STATES) -> DataFrame:

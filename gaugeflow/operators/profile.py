@@ -117,8 +117,8 @@ def year_profile(df: DataFrame) -> DataFrame:
     ])
 
 
-def stratification_columns(df: DataFrame, first: int = 3) -> list[str]:
-    return [c for c in df.columns if c.startswith("Stratification") and not c.endswith("ID")][:first]
+def stratification_columns(df: DataFrame) -> list[str]:
+    return [c for c in df.columns if c.startswith("Stratification") and not c.endswith("ID")]
 
 
 def stratification_profile(df: DataFrame, columns: Sequence[str] | None = None, top: int = 3) -> DataFrame:
@@ -146,7 +146,7 @@ def stratification_profile(df: DataFrame, columns: Sequence[str] | None = None,
 def feature_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), mode: str = "exact") -> DataFrame:
     """Mean, sample deviation, range and quartiles per numeric column (and group), in long form."""
     numbers = df.select(*[quoted(b) for b in by], *[as_number(df, c).cast("double").alias(c) for c in columns])
-    wide = numbers.groupBy(*by).agg(*[
+    wide = numbers.groupBy(*[quoted(b) for b in by]).agg(*[
         agg.alias(f"{name}_{i}") for i, c in enumerate(columns)
         for name, agg in (
             ("mean", F.avg(quoted(c))), ("std", F.stddev_samp(quoted(c))), ("min", F.min(quoted(c))),
@@ -159,8 +159,8 @@ def feature_stats(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (),
         side = F.broadcast(parts) if small else parts
         same = F.lit(True)
         for b in by:
-            same = same & wide[b].eqNullSafe(parts[b])
-        joined = wide.join(side, same).drop(*[parts[b] for b in by])
+            same = same & wide[f"`{b}`"].eqNullSafe(parts[f"`{b}`"])
+        joined = wide.join(side, same).drop(*[parts[f"`{b}`"] for b in by])
     else:
         row = parts.first()
         joined = wide.select("*", *[

@@ -120,5 +120,10 @@ def leakage_report(df: DataFrame, target: str, start: str = fv.YEAR_START, end:
 
 
 def with_row_hash(df: DataFrame, output: str = "row_id") -> DataFrame:
-    """A row id made of all columns, for tables without a key. Equal rows get equal ids, so they never split."""
-    return df.withColumn(output, F.md5(F.concat_ws("|", *[F.coalesce(quoted(c).cast("string"), F.lit("~")) for c in df.columns])))
+    """A row id made of all columns, for tables without a key. Equal rows get equal ids, so they never split.
+
+    Each value comes with its length and nulls have a mark of their own, so different rows never join to one text.
+    """
+    texts = [quoted(c).cast("string") for c in df.columns]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return df.withColumn(output, F.md5(F.concat_ws("|", *parts)))

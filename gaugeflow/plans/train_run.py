@@ -12,7 +12,8 @@ from gaugeflow import fixed_values as fv
 from gaugeflow.functions.scalars import numeric_columns
 from gaugeflow.operators.forest import Forest, cross_validate, random_search
 from gaugeflow.operators.scoring import regression_metrics
-from gaugeflow.operators.split import leakage_report, split_train_val_test
+from gaugeflow.operators.lookups import split_overlap
+from gaugeflow.operators.split import leakage_report, split_balance, split_train_val_test
 from gaugeflow.sources.registry import load_forest, save_forest
 from gaugeflow.storage import materialise
 
@@ -26,6 +27,9 @@ class TrainRun:
     search: list[dict] = field(default_factory=list)
     paths: dict[str, str] = field(default_factory=dict)
     leakage: list[dict] = field(default_factory=list)
+    balance: dict = field(default_factory=dict)
+    dropped: list[str] = field(default_factory=list)
+    settings: dict = field(default_factory=dict)
 
 
 def train_val(parts: DataFrame) -> DataFrame:
@@ -41,6 +45,9 @@ def train_run(
 ) -> TrainRun:
     leakage = [r.asDict() for r in leakage_report(df.drop(*drop, row_id), target).collect()]  # a few rows per column
     parts = materialise(split_train_val_test(df, target, row_id, drop, seed=seed), "split")
+    balance = split_balance(parts, target).first().asDict()
+    both = split_overlap(train_val(parts), parts.where(F.col("split") == "test"), row_id)
+    balance["n_overlap"] = both.count()
     features = [c for c in numeric_columns(parts) if c not in (target, row_id)]
     forest = Forest(settings=dict(settings or fv.FOREST_SETTINGS))
     fit_rows = train_val(parts)
@@ -54,16 +61,21 @@ def train_run(
     reloaded = load_forest(df.sparkSession, folder, name, version)
     if reloaded.features != forest.features:
         raise RuntimeError("the reloaded model has other features than the saved one")
-    return TrainRun(reloaded, parts, metrics, cv, search, paths, leakage)
+    dropped = [c for c in df.columns if c not in parts.columns]
+    return TrainRun(
+        reloaded, parts, metrics, cv, search, paths, leakage, balance, dropped, dict(forest.settings)
+    )
 
 
 def model_report(run: TrainRun, top: int = 10) -> DataFrame:
-    """One row about a training run: settings, errors, sizes of the parts and the heaviest features."""
+    """One row about a training run: settings, errors, parts, dropped columns, leakage texts, the heaviest features."""
     spark = run.parts.sparkSession
     sizes = run.parts.groupBy().agg(*[
         F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test")
     ])
-    heaviest = [r["Feature"] for r in run.forest.feature_importance(spark, top).collect()]
+    heaviest = [f"{r['Feature']}={r['Importance']:.4f}" for r in run.forest.feature_importance(spark, top).collect()]
+    warnings = [" ".join(str(x) for x in (w["warning"], w["column"], w["value"]) if x is not None) for w in run.leakage]
+    cv = run.cv or {}
     best = run.search[0] if run.search else {}
     return sizes.select(
         F.lit(type(run.forest.trained()).__name__).alias("model_type"),
@@ -71,9 +83,12 @@ def model_report(run: TrainRun, top: int = 10) -> DataFrame:
         F.lit(len(run.forest.features)).alias("feature_count"),
         "n_train", "n_val", "n_test",
         *[F.lit(run.metrics.get(k)).cast("double").alias(k) for k in ("mae", "mse", "rmse", "r2", "mape_pct", "within_pct")],
-        F.lit((run.cv or {}).get("mse_mean")).cast("double").alias("cv_mse_mean"),
-        F.lit((run.cv or {}).get("mse_std")).cast("double").alias("cv_mse_std"),
+        *[F.lit(cv.get(k)).cast("double").alias(f"cv_{k}") for k in ("mse_mean", "mse_std", "mse_min", "mse_max")],
+        F.lit(", ".join(f"{k}={v}" for k, v in run.settings.items())).alias("settings"),
+        F.lit(", ".join(run.dropped)).alias("dropped_columns"),
+        F.lit(run.balance.get("diff_pct")).cast("double").alias("train_test_gap_pct"),
+        F.lit(run.balance.get("n_overlap")).cast("long").alias("n_overlap"),
         F.lit(", ".join(f"{k}={v}" for k, v in best.items())).alias("best_settings"),
-        F.lit(len(run.leakage)).alias("n_leakage_warnings"),
+        F.lit(len(run.leakage)).alias("n_leakage_warnings"), F.lit("; ".join(warnings)).alias("leakage_warnings"),
         F.lit("; ".join(heaviest)).alias("top_features"),
     )

@@ -6,6 +6,7 @@ watermark; a window appears once the watermark has passed its end.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,8 +26,14 @@ def utc_time(c: Column) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")
 
 
-def read_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", time: str = "ts") -> DataFrame:
-    rows = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+def read_stream(
+    spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", time: str = "ts",
+    files_per_trigger: int | None = None,
+) -> DataFrame:
+    source = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
+    if files_per_trigger:
+        source = source.option("maxFilesPerTrigger", files_per_trigger)
+    rows = source.parquet(folder)
     kind = dict(rows.dtypes)[time]
     return rows.withColumn(time, utc_time(F.col(time))) if kind == "timestamp_ntz" else rows
 
@@ -95,6 +102,10 @@ def prediction_volume(
     )
 
 
+#: Default trigger: process what is there and stop. ``{"processingTime": "1 minute"}`` keeps a stream up.
+AVAILABLE = {"availableNow": True}
+
+
 def run_available(stream: DataFrame, path: str | None = None, label: str = "stream", form: str = "parquet") -> DataFrame:
     """Process what is there, append to files with a checkpoint, and read the result."""
     spark = stream.sparkSession
@@ -109,26 +120,34 @@ def run_available(stream: DataFrame, path: str | None = None, label: str = "stre
 
 def alert_stream(
     reports: DataFrame, to_alerts: Callable[[DataFrame], DataFrame], log_path: str, minimum: str = "warning",
-    checkpoint: str | None = None,
+    checkpoint: str | None = None, trigger: Mapping[str, object] = AVAILABLE,
 ) -> StreamingQuery:
     """Append the alerts of each micro-batch to the alert log.
 
     A batch replayed after a failure goes to the same folder and replaces its earlier output, so no alert is
-    logged twice.
+    logged twice. Folders carry the place of the checkpoint, so a stream with a new one leaves earlier alerts alone.
     """
+    progress = checkpoint or f"{log_path}-progress"
+    run = hashlib.md5(progress.encode()).hexdigest()[:12]
+
     def write(batch: DataFrame, number: int) -> None:
         alerts = severity_filter(to_alerts(batch), minimum)
-        alerts.write.mode("overwrite").option("timestampFormat", TIME_FORMAT).json(f"{log_path}/batch={number}")
+        alerts.write.mode("overwrite").option("timestampFormat", TIME_FORMAT).json(
+            f"{log_path}/run={run}/batch={number}"
+        )
 
     return (
         reports.writeStream.foreachBatch(write).outputMode("append")
-        .option("checkpointLocation", checkpoint or f"{log_path}-progress").trigger(availableNow=True).start()
+        .option("checkpointLocation", progress).trigger(**trigger).start()
     )
 
 
-def score_stream(rows: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str | None = None) -> StreamingQuery:
+def score_stream(
+    rows: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str | None = None,
+    trigger: Mapping[str, object] = AVAILABLE,
+) -> StreamingQuery:
     """Score arriving rows with a fitted model and append them as JSON lines."""
     return (
         score(rows).writeStream.format("json").option("timestampFormat", TIME_FORMAT).option("path", path).outputMode("append")
-        .option("checkpointLocation", checkpoint or f"{path}-progress").trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint or f"{path}-progress").trigger(**trigger).start()
     )
