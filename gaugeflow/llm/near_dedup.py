@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,10 +20,14 @@ from gaugeflow.storage import free, materialise
 #: 128 registers of 16 bits: 6 for the leading zeros plus one, 10 for the mantissa. Four make a band, so a pair at the
 #: threshold of 0.8 shares no band with probability (1 - 0.8**4)**32, about 5 in 10**8.
 REGISTERS, MANTISSA_BITS, BAND = 128, 10, 4
-#: The estimate has a standard deviation of 0.035 at 0.8. Pairs within 4.5 of these below the threshold are confirmed.
-MARGIN = 4.5
+#: The estimate has a standard deviation of 0.035 at 0.8. Pairs within four of these below the threshold are confirmed.
+MARGIN = 4.0
 #: Members of a bucket that are compared with each other in one task; larger buckets are split into pairs of blocks.
 BLOCK = 1024
+#: Pairs whose indexes a task holds before it judges them.
+PAIRS_AT_ONCE = 1 << 19
+#: Representatives of a cell, in which full sets meet for the last comparisons.
+CELL = 2048
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -138,13 +143,9 @@ def promising(pairs: DataFrame, reps: DataFrame, similarity: float) -> DataFrame
     return sized.where(close("bands_a", "bands_b", "n_a", "n_b")).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int,
-              percent: int) -> DataFrame:
-    """Pairs with 100 * intersection >= percent * union on their full shingle sets, as ``u, v``.
-
-    Sets are made anew from the texts of the candidates alone; a pair carries one set through a shuffle.
-    """
-    def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def full_sets(needed: DataFrame, reps: DataFrame, docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """``rep, shingles``: the full sets of the representatives in ``needed(rep)``, made anew from their texts alone."""
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = list(_sets(batch.column(2), size))
             if not sets:
@@ -158,45 +159,179 @@ def confirmed(pairs: DataFrame, reps: DataFrame, docs: DataFrame, doc_id: str, t
             )
             yield out.filter(pa.array(keep, pa.bool_()))
 
-    needed = pairs.select(F.col("a").alias("rep")).unionByName(pairs.select(F.col("b").alias("rep"))).distinct().join(
-        reps.select("rep", "digest", "row"), "rep"
-    )
+    wanted = needed.select("rep").distinct().join(reps.select("rep", "digest", "row"), "rep")
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
-    sets = needed.join(texts, F.col("row").eqNullSafe(F.col("id"))).select("rep", "digest", "text").mapInArrow(
-        full, "rep long, shingles array<long>"
+    return wanted.join(texts, F.col("row").eqNullSafe(F.col("id"))).select("rep", "digest", "text").mapInArrow(
+        made, "rep long, shingles array<long>"
     )
-    sets = materialise(sets, "sets")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of ``pairs(a, b)`` those with 100 * intersection >= percent * union, as ``u, v``. A pair carries one set."""
     one = pairs.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("of_b")), "b")
     both = one.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("of_a")), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
-    links = materialise(
-        both.where(100 * common >= percent * union).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct(), "links"
+    return both.where(100 * common >= percent * union).select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
+
+
+def _judged_cell(percent: int):
+    """Links between the members of a cell: each set is marked once and all its partners are counted against it."""
+
+    def run(lists: pa.Table, sets: pa.Table) -> pa.Table:
+        found_u, found_v = [], []
+        if lists.num_rows and sets.num_rows:
+            shingles = sets["shingles"].combine_chunks()
+            values, place = np.unique(shingles.flatten().to_numpy(), return_inverse=True)
+            sizes = shingles.value_lengths().to_numpy().astype(np.int64)
+            stops = np.cumsum(sizes)
+            where = {rep: i for i, rep in enumerate(sets["rep"].to_pylist())}
+            mark = np.zeros(len(values), np.int64)
+            for rep, partners in zip(lists["rep"].to_pylist(), lists["partners"].to_pylist()):
+                i = where[rep]
+                own = place[stops[i] - sizes[i]:stops[i]]
+                mark[own] = 1
+                others = np.array([where[p] for p in partners])
+                common = np.array([mark[place[stops[j] - sizes[j]:stops[j]]].sum() for j in others])
+                mark[own] = 0
+                for j in np.flatnonzero(100 * common >= percent * (sizes[i] + sizes[others] - common)).tolist():
+                    found_u.append(rep)
+                    found_v.append(partners[j])
+        return pa.table({"u": pa.array(found_u, pa.int64()), "v": pa.array(found_v, pa.int64())})
+
+    return run
+
+
+def confirmed_in_cells(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The same for partner lists, which are never expanded: sets meet in cells of a bounded number of members."""
+    sent = lists.select(
+        F.col("low").alias("low_cell"), F.col("high").alias("high_cell"), F.col("rep").alias("member")
+    ).distinct().join(sets, F.col("member") == F.col("rep")).select(
+        "low_cell", "high_cell", F.col("member").alias("rep"), "shingles"
+    ).groupBy("low_cell", "high_cell")
+    return lists.where(F.size("partners") > 0).groupBy("low", "high").cogroup(sent).applyInArrow(
+        _judged_cell(percent), "u long, v long"
     )
-    free(sets)
-    return links
 
 
-def _cross_pairs(similarity: float):
+def _cross_pairs(similarity: float, best_only: bool):
+    """Pairs of different components within each bucket block; rows come sorted by bucket, some buckets per batch.
+
+    A pair is looked at in the first band that it shares only. With ``best_only`` each row names its best partner alone.
+    """
     chances, least = collision_table(), _threshold(similarity)
+    bucket, numbers = ("band", "value", "low", "high"), ("block", "rep", "label", "n", "cell")
+    triangles: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def judged(rows: dict, i: np.ndarray, j: np.ndarray) -> pa.RecordBatch:
+        found, values = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
+        for at in range(0, len(i), 1 << 15):
+            a, b = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
+            value = estimate(rows["regs"][a], rows["regs"][b], rows["n"][a], rows["n"][b], chances)
+            near = value >= least
+            a, b, value = a[near], b[near], value[near]
+            bands_a, bands_b = (rows["regs"][x].view(np.int64) for x in (a, b))
+            first = ((bands_a == bands_b) & (bands_a != 0)).argmax(1) == rows["band"][a]
+            found.append(np.stack([a[first], b[first]], 1))
+            values.append(value[first])
+        pairs, values = np.concatenate(found), np.concatenate(values)
+        if best_only:
+            rows_of = np.concatenate([pairs[:, 0], pairs[:, 1]])
+            order = np.lexsort((-np.concatenate([values, values]), rows_of))
+            heads = np.flatnonzero(np.diff(rows_of[order], prepend=-1))
+            pairs = pairs[np.unique(order[heads] % max(len(pairs), 1))]
+        return packed(rows["rep"][pairs], rows["cell"][pairs])
+
+    def packed(pairs: np.ndarray, cells: np.ndarray) -> pa.RecordBatch:
+        """Each member with its partners in one cell, and each partner by itself without any."""
+        swap = (cells[:, 0] > cells[:, 1]) | ((cells[:, 0] == cells[:, 1]) & (pairs[:, 0] > pairs[:, 1]))
+        pairs[swap], cells[swap] = pairs[swap][:, ::-1], cells[swap][:, ::-1]
+        order = np.lexsort((pairs[:, 1], pairs[:, 0], cells[:, 1], cells[:, 0]))
+        pairs, cells = pairs[order], cells[order]
+        heads = np.flatnonzero(np.append(
+            np.full(min(len(pairs), 1), True),
+            (pairs[1:, 0] != pairs[:-1, 0]) | (cells[1:] != cells[:-1]).any(1),
+        ))
+        alone = np.unique(np.column_stack([cells, pairs[:, 1]]), axis=0)
+        offsets = np.concatenate([heads, np.full(len(alone) + 1, len(pairs))]).astype(np.int32)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate([cells[heads, 0], alone[:, 0]])), pa.array(np.concatenate([cells[heads, 1], alone[:, 1]])),
+             pa.array(np.concatenate([pairs[heads, 0], alone[:, 2]])),
+             pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.ascontiguousarray(pairs[:, 1])))],
+            ["low", "high", "rep", "partners"],
+        )
+
+    def compared(rows: dict, starts: np.ndarray, stops: np.ndarray) -> Iterator[pa.RecordBatch]:
+        mixed = np.minimum.reduceat(rows["label"], starts) != np.maximum.reduceat(rows["label"], starts)
+        left, right, waiting = [], [], 0
+        for a, b in zip(starts[mixed].tolist(), stops[mixed].tolist()):
+            if rows["low"][a] == rows["high"][a]:
+                if b - a not in triangles:
+                    if b - a > 64:
+                        triangles.clear()
+                    triangles[b - a] = np.triu_indices(b - a, 1)
+                i, j = triangles[b - a]
+            else:
+                low = rows["block"][a:b] == rows["low"][a]
+                i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(low), np.flatnonzero(~low)))
+            i, j = i + a, j + a
+            smaller, larger = np.minimum(rows["n"][i], rows["n"][j]), np.maximum(rows["n"][i], rows["n"][j])
+            use = (rows["label"][i] != rows["label"][j]) & (smaller >= similarity * larger - 1e-9)
+            left.append(i[use])
+            right.append(j[use])
+            waiting += int(use.sum())
+            if waiting > PAIRS_AT_ONCE:
+                yield judged(rows, np.concatenate(left), np.concatenate(right))
+                left, right, waiting = [], [], 0
+        if waiting:
+            yield judged(rows, np.concatenate(left), np.concatenate(right))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = {c: batch.column(c).to_numpy() for c in bucket + numbers}
+            rows["regs"] = batch.column("bands").flatten().to_numpy().view(np.uint16).reshape(-1, REGISTERS)
+            if held:
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in rows}
+            keys = np.stack([rows[c] for c in bucket], 1)
+            starts = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]).any(1)))
+            if len(starts) > 1:
+                yield from compared(rows, starts[:-1], starts[1:])
+            held = {c: v[starts[-1]:] for c, v in rows.items()}
+        if held:
+            yield from compared(held, np.zeros(1, int), np.array([len(held["rep"])]))
+
+    return run
 
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["block", "rep"]).reset_index(drop=True)
-        regs, n = _wide(rows["bands"]), rows["n"].to_numpy()
-        rep, label, block = (rows[c].to_numpy() for c in ("rep", "label", "block"))
-        low, high = rows["low"].iloc[0], rows["high"].iloc[0]
-        pairs = []
-        for i in np.flatnonzero(block == low):
-            others = np.arange(i + 1, len(rows)) if low == high else np.flatnonzero(block == high)
-            ratio = np.minimum(n[others], n[i]) / np.maximum(n[others], n[i])
-            others = others[(label[others] != label[i]) & (ratio >= similarity - 1e-9)]
-            near = others[estimate(regs[i], regs[others], n[i], n[others], chances) >= least]
-            if len(near):
-                pairs.append(np.stack([np.full(len(near), rep[i]), rep[near]], 1))
-        found = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-        return pd.DataFrame({"a": found.min(1, initial=2**62), "b": found.max(1, initial=-1)})
-
-    return compare
+
+def _across(crowded: DataFrame, labels: DataFrame, reps: DataFrame, similarity: float, best_only: bool) -> DataFrame:
+    """Promising partners in different components, from buckets where not all pairs have been judged yet.
+
+    ``low, high, rep, partners``: members are dealt to cells by hash; low and high are the cells of both sides.
+    """
+    labelled = crowded.where("m > 3").join(labels, crowded["rep"] == labels["node"], "left").select(
+        "band", "value", "m", "rep", F.coalesce("root", "rep").alias("label")
+    )
+    mixed = labelled.groupBy("band", "value").agg(
+        F.min("label").alias("x"), F.max("label").alias("y")
+    ).where("x != y").select("band", "value")
+    mixed = materialise(mixed, "mixed")
+    inside = labelled.join(mixed, ["band", "value"])
+    cells = math.ceil((inside.agg(F.approx_count_distinct("rep")).first()[0] or 1) / CELL)
+    blocks = F.ceil(F.col("m") / BLOCK)
+    dealt = inside.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
+    ).join(reps.select("rep", "n", "bands"), "rep").select(
+        F.col("band").cast("long").alias("band"), "value", F.least("block", "other").alias("low"),
+        F.greatest("block", "other").alias("high"), "block", "rep", "label", "n", "bands",
+        F.pmod(F.xxhash64("rep"), F.lit(cells)).alias("cell"),
+    )
+    key = ["band", "value", "low", "high"]
+    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(
+        _cross_pairs(similarity, best_only), "low long, high long, rep long, partners array<long>"
+    )
 
 
 def near_duplicates(
@@ -216,9 +351,12 @@ def near_duplicates(
     1. HyperMinHash registers of each set; equal sets become one representative, so copies cost nothing more.
     2. Bands of four registers name buckets. Each member is compared with three members of its bucket only; estimates
        first, then full sets; confirmed links give components.
-    3. Buckets that still hold several components are compared completely across components, in blocks; again only pairs
-       with a promising estimate leave a task and are confirmed. So every pair that shares a bucket is either connected
-       already or has been judged, and no group is expanded into all its pairs.
+    3. Buckets of more than three members (in smaller ones all pairs are judged by now) that still hold several
+       components are compared across components, in blocks. First each member's best partner is confirmed, which
+       joins most of what belongs together; then all pairs with a promising estimate that still lie across components.
+       Partners travel as lists, one row a member, and are judged on full sets where these meet in cells.
+       So every pair that shares a bucket is either connected already or has been judged, and no group is expanded
+       into all its pairs.
     """
     similarity = percent / 100
     profiles = materialise(shingle_profiles(docs, doc_id, text, shingle), "profiles")
@@ -237,26 +375,18 @@ def near_duplicates(
         F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")
     ).distinct()
     pairs = materialise(promising(stars, reps, similarity), "pairs")
-    links = confirmed(pairs, reps, docs, doc_id, text, shingle, percent)
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
+    sets = materialise(full_sets(ends, reps, docs, doc_id, text, shingle), "sets")
+    links = materialise(confirmed(pairs, sets, percent), "links")
     labels = materialise(connected_components(links), "labels")
-
-    labelled = crowded.join(labels, crowded["rep"] == labels["node"], "left").select(
-        "band", "value", "m", "rep", F.coalesce("root", "rep").alias("label")
-    )
-    mixed = labelled.groupBy("band", "value").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x != y")
-    blocks = F.ceil(F.col("m") / BLOCK)
-    dealt = labelled.join(mixed, ["band", "value"]).withColumn("block", F.pmod(shuffled_rep, blocks)).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    ).join(reps.select("rep", "n", "bands"), "rep").select(
-        "band", "value", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
-        "block", "rep", "label", "n", "bands",
-    )
-    cross = dealt.groupBy("band", "value", "low", "high").applyInPandas(
-        _cross_pairs(similarity), "a long, b long"
-    ).distinct().join(pairs, ["a", "b"], "left_anti")
-    cross = materialise(cross, "cross")
-    more = confirmed(cross, reps, docs, doc_id, text, shingle, percent)
-    labels = materialise(connected_components(links.unionByName(more)), "labels")
+    free(sets)
+    for best_only in (True, False):
+        lists = materialise(_across(crowded, labels, reps, similarity, best_only), "partners")
+        sets = full_sets(lists, reps, docs, doc_id, text, shingle)
+        more = materialise(confirmed_in_cells(lists, sets, percent), "links")
+        links = links.unionByName(more)
+        labels = materialise(connected_components(links), "labels")
+        free(lists)
     free(crowded)
 
     known = reps.select("rep", "digest", "row").join(labels, reps["rep"] == labels["node"], "left").withColumn(
