@@ -249,7 +249,8 @@ def keep_mixture(
     targets = [(x or 0.0) * factors.get(d, 1.0) for d, x in zip(model.domains, sums)]
     rates = fit_rates(members, targets, cap=1.0, start=1.0)
     rate = rates.of(F.col("n_tokens"), F.col("posteriors"))
-    kept = members.where(hash_share("row", seed=SEED + 2) < rate).select("row", F.col("text_hash").alias("hash"))
-    return docs.join(
-        kept, F.col(doc_id).eqNullSafe(F.col("row")) & (F.xxhash64(text) == F.col("hash")), "left_semi"
+    kept = members.where(hash_share("row", seed=SEED + 2) < rate).select(
+        F.col("row").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")
     )
+    same = F.col(doc_id).eqNullSafe(F.col("_kept_id")) & (F.xxhash64(text) == F.col("_kept_hash"))
+    return docs.join(kept, same, "left_semi")
