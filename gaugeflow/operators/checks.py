@@ -107,8 +107,8 @@ def range_check_global(
     if on_fail == "raise":
         for r in report.where(F.col("status") == "error").collect():
             raise ValueError(
-                f"Column '{r['column']}' has {r['n_outside']:,} values ({r['outside_pct']:.1f}%) "
-                f"outside [{r['low']:g}, {r['high']:g}]. Samples: {r['samples']}"
+                f"{r['column']}: {r['n_outside']} of its values lie outside [{r['low']:g}, {r['high']:g}], "
+                f"which is {r['outside_pct']:.2f} percent; the first are {r['samples']}"
             )
     return report
 

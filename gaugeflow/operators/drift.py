@@ -33,7 +33,7 @@ def reference_stats_join(current: DataFrame, reference: DataFrame) -> DataFrame:
     """Reference mean and deviation beside each current feature. One row per monitored column on both sides."""
     side = reference.select("feature", F.col("mean").alias("ref_mean"), F.col("std").alias("ref_std"),
                             F.lit(True).alias("known"))
-    return current.join(F.broadcast(side), "feature", "left").withColumn(
+    return current.join(side, "feature", "left").withColumn(  # Spark broadcasts the reference if it is small
         "known", F.coalesce("known", F.lit(False))
     )
 

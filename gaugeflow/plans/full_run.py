@@ -14,11 +14,16 @@ from gaugeflow.sources.files import write_features_csv
 
 def prepare(
     raw: DataFrame, validate: bool = True, lists: CategoryLists | None = None, csv_path: str | None = None,
-    mode: str = "exact",
+    mode: str = "exact", report_path: str | None = None,
 ) -> DataFrame:
-    """Validate, clean, engineer, force numeric, and write CSV on request."""
+    """Validate, clean, engineer, force numeric, and write CSV on request.
+
+    ``report_path`` receives the validation report, warnings included, as a table.
+    """
     if validate:
-        raw_validation_suite(raw, on_fail="raise")
+        report = raw_validation_suite(raw, on_fail="raise")
+        if report_path:
+            report.write.mode("overwrite").parquet(report_path)
     features = ensure_all_numeric(engineer_features(clean_data(raw, mode), lists, mode))
     if fv.VALUE not in features.columns:
         raise ValueError(f"'{fv.VALUE}' is missing after feature engineering")

@@ -8,7 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-SMALL_TABLE_ROWS = 10_000
+#: Statistics up to this number of bytes, as written, are broadcast.
+SMALL_TABLE_BYTES = 4 << 20
 _OWN_FOLDERS: dict[str, str] = {}
 
 
@@ -69,21 +70,35 @@ def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
     return df.repartition(cores)
 
 
-def pin_small(df: DataFrame, label: str = "stats", max_rows: int = SMALL_TABLE_ROWS) -> tuple[DataFrame, bool]:
-    """Evaluate a statistics table once.
+def written_bytes(df: DataFrame) -> int:
+    """Size of the table behind a result of ``materialise``."""
+    system, folder = _located(df.sparkSession, df.kept_at)
+    return system.getContentSummary(folder).getLength()
 
-    Up to ``max_rows`` rows become a local table that is safe to broadcast (second value True).
-    A larger one is written to the shared folder and has to be joined by shuffle.
+
+def pin_small(df: DataFrame, label: str = "stats", max_bytes: int = SMALL_TABLE_BYTES) -> tuple[DataFrame, bool]:
+    """Evaluate a statistics table once: it is written, and its written size tells whether it may be broadcast.
+
+    The second value is True up to ``max_bytes``; a larger table has to be joined by shuffle.
     """
-    rows = df.take(max_rows + 1)
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema), True
-    return materialise(df, label), False
+    kept = materialise(df, label)
+    return kept, written_bytes(kept) <= max_bytes
 
 
 def join_stats(df: DataFrame, stats: DataFrame, keys: list[str], small: bool, how: str = "left") -> DataFrame:
     """Join fitted statistics to the fact table: broadcast when checked small, else a shuffle join.
 
-    The shuffle join relies on adaptive skew splitting for hot keys.
+    Rows without a key match nothing, so for a left join they are set apart before the shuffle; hot keys are left to
+    adaptive skew splitting.
     """
-    return df.join(F.broadcast(stats) if small else stats, keys, how)
+    if small:
+        return df.join(F.broadcast(stats), keys, how)
+    if how != "left":
+        return df.join(stats, keys, how)
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(f"`{key}`").isNotNull()
+    joined = df.where(whole).join(stats, keys, how)
+    added = [F.lit(None).cast(stats.schema[c].dataType).alias(c) for c in stats.columns if c not in keys]
+    others = [F.col(f"`{c}`") for c in df.columns]
+    return joined.unionByName(df.where(~whole).select(*others, *added))

@@ -28,18 +28,19 @@ def folder():
 
 @pytest.fixture
 def small_table(spark):
-    """100 rows in the shape of the small preparation table."""
-    states = ["CA", "NY", "TX", "FL", "IL", "PA", "OH", "GA", "NC", "MI"]
-    topics = ["Diabetes", "Cancer", "Asthma", "Tobacco", "Alcohol"]
-    kinds = ["Prevalence", "Rate", "Number"]
-    groups = ["Overall", "Male", "Female"]
+    """100 rows in the shape of the small preparation table, made by rule."""
+    places = ["WA", "OR", "ME", "KS", "AL", "UT", "VT"]
+    subjects, kinds = ["Sleep", "Noise", "Water", "Air"], ["Mean", "Percent", "Count of cases"]
+    groups = ["Overall", "Female", "Male"]
     rows = []
     for i in range(100):
-        value = 5.0 + (i * 37 % 60)
+        value = 3.0 + (i * 29 % 71)
+        place = places[i % len(places)]
+        point = None if i % 5 == 3 else f"({28 + i % 17}.125, -{75 + i % 40}.5)"
         rows.append((
-            2010 + i % 10, 2010 + i % 10 + i % 2, states[i % 10], f"State_{i % 10}", topics[i % 5], f"Question {i % 5}",
-            None if i % 9 == 0 else str(value), value * 0.6, value * 1.4, kinds[i % 3],
-            f"({30 + i % 10}.5, -{90 + i % 20}.25)" if i % 4 else None, groups[i % 3], "Gender", f"R{i}", i % 10,
+            2011 + i % 9, 2011 + i % 9 + i % 3, place, f"Place {place}", subjects[i % 4], f"Item {i % 6}",
+            None if i % 11 == 5 else f"{value}", value - 1.5, value + 2.5, kinds[i % 3], point, groups[i % 3],
+            "Group", f"row-{i}", i % 13,
         ))
     return spark.createDataFrame(rows, (
         "YearStart int, YearEnd int, LocationAbbr string, LocationDesc string, Topic string, Question string,"

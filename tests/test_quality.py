@@ -45,8 +45,9 @@ def test_range_by_type_fails_above_five_percent(spark):
 
 
 def test_valid_table_passes_the_suite(spark):
-    rows = [(2020, "CA", "California", "Diabetes", "Prevalence", "15.5", 10.0, 20.0, "Prevalence"),
-            (2021, "NY", "New York", "Cancer", "Rate", "20.3", 15.0, 25.0, "Rate")]
+    rows = [(2013, "WA", "Washington", "Sleep", "Hours", "7.25", 6.5, 8.0, "Mean"),
+            (2016, "KS", "Kansas", "Noise", "Level", "41", 38.0, 44.5, "Percent"),
+            (2018, "ME", "Maine", "Water", "Use", None, None, None, "Mean")]
     df = spark.createDataFrame(rows, "YearStart int, LocationAbbr string, LocationDesc string, Topic string, Question string,"
                                " DataValue string, LowConfidenceLimit double, HighConfidenceLimit double, DataValueType string")
     report = checks.raw_validation_suite(df, on_fail="raise")
