@@ -25,6 +25,12 @@ def kept(label: str, make: Callable[[SparkSession, str], object], spark: SparkSe
     return _KEPT[key]
 
 
+def forget(keep: tuple[str, ...] = ()) -> None:
+    """Drop kept intermediates, but those with the given labels."""
+    for key in [k for k in _KEPT if k[0] not in keep]:
+        del _KEPT[key]
+
+
 def stored_view(spark: SparkSession, folder: str) -> DataFrame:
     """The indicator view written as a raw table."""
     return kept("view", lambda s, f: materialise(indicator_view(s, f), "view"), spark, folder)
