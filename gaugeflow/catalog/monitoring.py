@@ -405,9 +405,11 @@ def shown(df):
 
 
 @query("drift_alerts", DRIFT + f"""SELECT 'warning' AS severity, 'Data Drift Detected: ' || feature AS title, message, {STAMP_SQL},
-  'drift_detector' AS source FROM told WHERE status = 'drift_detected'""")
+  'drift_detector' AS source, {rnd("ref_mean", 4)} AS ref_mean, {rnd("current_mean", 4)} AS current_mean, {rnd("deviation", 4)} AS deviation
+  FROM told WHERE status = 'drift_detected'""")
 def _drift_alerts(spark, folder):
-    return shown(alerts.drift_alerts(events_drift(spark, folder), timestamp=stamp()))
+    found = alerts.drift_alerts(events_drift(spark, folder), timestamp=stamp())
+    return with_payload(found, ["ref_mean", "current_mean", "deviation"])
 
 
 def daily(spark, folder):
@@ -443,9 +445,19 @@ def history(spark, folder):
     )))
 
 
-@query("performance_drop_alerts", f"WITH {DROPS} {DROP_SQL}")
+def with_payload(df, fields):
+    """Numbers of the JSON payload as columns of their own, rounded."""
+    values = F.from_json("data", ", ".join(f"{f} double" for f in fields))
+    return shown(df.withColumns({f: F.round(values.getField(f), 4) for f in fields}))
+
+
+DROP_FIELDS = ["old_value", "new_value", "drop_percent"]
+
+
+@query("performance_drop_alerts", f"""WITH {DROPS} {DROP_SQL.replace(" FROM lagged", f""",
+  {rnd("old", 4)} AS old_value, {rnd("value", 4)} AS new_value, {rnd("(old - value) * 100 / old", 4)} AS drop_percent FROM lagged""")}""")
 def _performance_drop_alerts(spark, folder):
-    return shown(alerts.performance_drop_alerts(history(spark, folder), timestamp=stamp()))
+    return with_payload(alerts.performance_drop_alerts(history(spark, folder), timestamp=stamp()), DROP_FIELDS)
 
 
 def anomalies(spark, folder):
@@ -506,7 +518,24 @@ def _severity_filter(spark, folder):
 def _append_alerts(spark, folder):
     path = new_path(spark, "alerts")
     logs.append_alerts(alerts.severity_filter(all_alerts(spark, folder)), path)
-    return shown(logs.read_alerts(spark, path).withColumn("timestamp", stamp()))
+    back = logs.read_alerts(spark, path)
+    naive = F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.col("timestamp").cast("timestamp_ntz"))
+    return shown(back.withColumn("timestamp", naive))
+
+
+@query("monitoring_summary", ALL_SQL + f"""SELECT (SELECT count(*) FROM events) AS n_predictions, count(*) AS n_alerts,
+  count(*) FILTER (severity = 'error') AS n_errors, count(*) FILTER (severity = 'critical') AS n_critical,
+  (SELECT {rnd("avg(value)", 4)} FROM events) AS mean_prediction, (SELECT CAST(sum(user_id % 3) AS BIGINT) FROM events) AS missing_features
+FROM alerts WHERE severity <> 'info'""")
+def _monitoring_summary(spark, folder):
+    """What the stored logs of predictions and alerts say together."""
+    predictions, told = new_path(spark, "predictions"), new_path(spark, "alerts")
+    scored = table(spark, folder, "events").select(
+        jobs.utc_time(F.col("ts")).alias("timestamp"), F.col("value").alias("prediction"), (F.col("user_id") % 3).alias("missing_features"),
+    )
+    logs.append_predictions(logs.prediction_records(scored, features_used=3), predictions)
+    logs.append_alerts(alerts.severity_filter(all_alerts(spark, folder)), told)
+    return rounded(logs.log_summary(logs.read_predictions(spark, predictions), logs.read_alerts(spark, told)), 4)
 
 
 @query("last_n", """SELECT event_id, ts, event_type, value FROM events WHERE event_type = 'error' ORDER BY ts DESC, event_id DESC LIMIT 10""")

@@ -404,13 +404,25 @@ def _outlier_remove_zscore(spark, folder):
     return rounded(outliers.outlier_remove_by_group(noisy_lines(spark, folder), "price", "grp", "zscore", 2.0))
 
 
-@query("outlier_report", """WITH q AS (SELECT """ + ", ".join(
+OUTLIERS = """WITH q AS (SELECT """ + ", ".join(
     f"quantile_cont({c}, 0.25) AS {c}_1, quantile_cont({c}, 0.75) AS {c}_3" for c in ("value", "user_id", "event_id")
 ) + " FROM events), report AS (" + union([
     f"""SELECT '{c}' AS feature, count(*) FILTER ({c} < {c}_1 - ({c}_3 - {c}_1) OR {c} > {c}_3 + ({c}_3 - {c}_1)) AS outlier_count,
   count({c}) AS n, any_value({c}_1 - ({c}_3 - {c}_1)) AS lower_bound, any_value({c}_3 + ({c}_3 - {c}_1)) AS upper_bound,
   min({c})::DOUBLE AS min_value, max({c})::DOUBLE AS max_value FROM events, q""" for c in ("value", "user_id", "event_id")
-]) + f""") SELECT feature, outlier_count, {rnd("100.0::DOUBLE * outlier_count / n")} AS outlier_percent,
+]) + ") "
+
+
+@query("outlier_totals", OUTLIERS + """SELECT count(*) AS n_columns, CAST(coalesce(sum(outlier_count), 0) AS BIGINT) AS total_outliers,
+  (SELECT count(*) FROM events) AS total_rows, true AS has_time FROM report WHERE outlier_count > 0""")
+def _outlier_totals(spark, folder):
+    events = table(spark, folder, "events")
+    report = outliers.outlier_report(events, ["value", "user_id", "event_id"], 1.0)
+    totals = outliers.outlier_totals(report, events.count())
+    return totals.withColumn("has_time", F.col("reported_at").isNotNull()).drop("reported_at")
+
+
+@query("outlier_report", OUTLIERS + f"""SELECT feature, outlier_count, {rnd("100.0::DOUBLE * outlier_count / n")} AS outlier_percent,
   {rnd("lower_bound")} AS lower_bound, {rnd("upper_bound")} AS upper_bound, min_value, max_value
 FROM report WHERE outlier_count > 0""")
 def _outlier_report(spark, folder):

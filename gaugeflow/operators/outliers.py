@@ -130,6 +130,13 @@ def outlier_report(
     return rows.where(F.col("outlier_count") > 0)
 
 
+def outlier_totals(report: DataFrame, rows: int) -> DataFrame:
+    """Totals of an outlier report: columns with outliers, outliers in all, rows looked at, and the time."""
+    return report.agg(
+        F.count("*").alias("n_columns"), F.coalesce(F.sum("outlier_count"), F.lit(0)).cast("long").alias("total_outliers"),
+    ).withColumns({"total_rows": F.lit(rows).cast("long"), "reported_at": F.current_timestamp()})
+
+
 def target_range_filter(df: DataFrame, target: str, width: float = fv.FENCE_WIDTH, mode: str = "exact") -> DataFrame:
     """Remove rows whose target is far outside its 1–99 % range; rows without a target stay."""
     parts = quantile_values(df, [target], [0.01, 0.99], mode)[target]

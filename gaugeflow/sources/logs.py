@@ -37,8 +37,25 @@ def read_predictions(spark: SparkSession, path: str) -> DataFrame:
 
 
 def append_alerts(alerts: DataFrame, path: str) -> None:
+    """Times without a zone are written as UTC; without that they could not be read back."""
+    if dict(alerts.dtypes).get("timestamp") == "timestamp_ntz":
+        instant = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("timestamp")).cast("timestamp")
+        alerts = alerts.withColumn("timestamp", instant)
     alerts.write.mode("append").option("timestampFormat", TIME_FORMAT).json(path)
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ALERT_LOG).option("timestampFormat", TIME_FORMAT).json(path)
+
+
+def log_summary(predictions: DataFrame, alerts: DataFrame) -> DataFrame:
+    """One row about the stored logs: predictions, their mean and missing features, and alerts by severity."""
+    scored = predictions.agg(
+        F.count("*").alias("n_predictions"), F.avg("prediction").alias("mean_prediction"),
+        F.sum(F.col("missing_features").cast("long")).alias("missing_features"),
+    )
+    told = alerts.agg(
+        F.count("*").alias("n_alerts"), F.count_if(F.col("severity") == "error").alias("n_errors"),
+        F.count_if(F.col("severity") == "critical").alias("n_critical"),
+    ).first()  # three numbers
+    return scored.withColumns({k: F.lit(n).cast("long") for k, n in told.asDict().items()})
