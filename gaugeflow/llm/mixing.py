@@ -176,29 +176,43 @@ def fit_rates(
 ) -> Rates:
     """Nonnegative rates r (at most ``cap``) with sum of r * tokens * posterior close to the target of each domain.
 
-    Least squares by projected gradient. Residuals are weighted by the inverse Gram matrix of the domain columns, which
-    makes a step of 1 safe and the descent short. A step needs one aggregate over the table: sums by domain, as many
-    numbers as there are domains. The rate of a row is replayed from the steps, so no state is kept per row.
+    Least squares by projected gradient. Residuals are weighted by the inverse Gram matrix of the domain columns over the
+    rows that can still move both ways, which makes the descent short; should a step raise the residual, the matrix of
+    all rows is used from there on, with which a step of 1 is safe. A step needs one aggregate over the table: sums by
+    domain and pair of domains. The rate of a row is replayed from the steps, so no state is kept per row.
     """
     n = len(targets)
     mass = [F.col(tokens) * F.col(posteriors)[i] for i in range(n)]
-    sums = members.agg(
-        *[F.sum(m) for m in mass], *[F.sum(mass[i] * mass[j]) for i in range(n) for j in range(n)]
-    ).first()
-    have, want = np.array([x or 0.0 for x in sums[:n]]), np.array(targets, float)
-    gram = np.array([x or 0.0 for x in sums[n:]]).reshape(n, n)
-    weight = np.linalg.pinv(gram + 1e-12 * np.trace(gram) * np.eye(n))
+
+    def sums(rate: Column, free: Column) -> tuple[np.ndarray, np.ndarray]:
+        found = members.agg(
+            *[F.sum(rate * m) for m in mass],
+            *[F.sum(F.when(free, mass[i] * mass[j])) for i in range(n) for j in range(n)],
+        ).first()
+        values = np.array([x or 0.0 for x in found])
+        return values[:n], values[n:].reshape(n, n)
+
+    def inverse(gram: np.ndarray) -> np.ndarray:
+        return np.linalg.pinv(gram + 1e-12 * np.trace(gram) * np.eye(n))
+
+    want = np.array(targets, float)
+    have, whole = sums(F.lit(1.0), F.lit(True))
     if start is None:
         start = float(want.sum() / have.sum()) if have.sum() else 0.0
     rates = Rates(start, [], cap, have.tolist())
-    scale = max(float(np.abs(want).sum()), 1.0)
+    scale, before, safe = max(float(np.abs(want).sum()), 1.0), math.inf, False
     for _ in range(MAX_STEPS):
         rate = rates.of(F.col(tokens), F.col(posteriors))
-        got = np.array([x or 0.0 for x in members.agg(*[F.sum(rate * m) for m in mass]).first()])
+        got, gram = sums(rate, (rate > 0) & (rate < (cap if cap is not None else math.inf)))
         rates.expected = got.tolist()
-        if np.abs(got - want).sum() <= TOLERANCE * scale or not have.any():
+        off = float(np.abs(got - want).sum())
+        if off <= TOLERANCE * scale or not have.any():
+            break
+        if safe and off > 0.999 * before:  # the targets are out of reach
             break
-        rates.steps.append((weight @ (got - want)).tolist())
+        safe = safe or off > before or not gram.any()
+        before = off
+        rates.steps.append((inverse(whole if safe else gram) @ (got - want)).tolist())
     return rates
 
 
