@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gaugeflow.llm.tables import whole_text
+from gaugeflow.storage import materialise
 
 # Rules in their listed order, as (kind, pattern, group that is measured, least length of that group).
 RULES = (
@@ -147,10 +148,11 @@ def scan_secrets(docs: DataFrame, ratios: Sequence[float], doc_id: str = "doc_id
     columns are not read, rows may repeat.
     """
     whole = whole_text(text)
-    found = docs.select(
+    # Written, because the optimizer would else repeat the patterns for each use of the spans.
+    found = materialise(docs.select(
         F.col(doc_id).alias("doc_id"), rule_matches(whole).alias("base"),
         _located(whole, CANDIDATE, ((), CANDIDATE), len(RULES), MARKOV).alias("runs"),
-    )
+    ), "spans")
     free = F.filter("runs", lambda r: ~F.exists(
         "base", lambda b: (b["start"] < r["end"]) & (r["start"] < b["end"])
     ))
