@@ -123,6 +123,31 @@ def test_mixture_meets_targets(spark, cap):
         assert members.where(rate > 1.0).count() == 0
 
 
+@pytest.mark.parametrize("longs, size, share", [(5, 20_000, 0.5), (5, 100_000, 0.3), (0, 0, 0.5)])
+def test_capped_mixture_with_a_few_very_long_documents(spark, longs, size, share):
+    toxic = F.col("id") % 10 == 0
+    length = F.when(toxic & (F.col("id") < 10 * longs), size).when(toxic, 20 + F.col("id") % 41).otherwise(100 + F.col("id") % 900)
+    p = F.when(toxic, 0.99 + 0.0099 * (F.col("id") % 7) / 7).otherwise(1e-6)
+    members = spark.range(200_000).select(length.cast("long").alias("n_tokens"), F.array(1 - p, p).alias("posteriors")).cache()
+
+    def kept(rate):
+        return members.agg(*[F.sum(rate * F.col("n_tokens") * F.col("posteriors")[i]) for i in range(2)]).first()
+
+    have = kept(F.lit(1.0))
+    rates = mixing.fit_rates(members, [have[0], share * have[1]], cap=1.0, start=1.0)
+    rate = rates.of(F.col("n_tokens"), F.col("posteriors"))
+    got = kept(rate)
+    assert abs(got[0] / have[0] - 1) < 1e-3 and abs(got[1] / have[1] - share) < 1e-3 and rates.reached
+    assert members.where((rate < 0) | (rate > 1)).count() == 0
+
+
+def test_mixture_targets_out_of_reach_are_told(spark):
+    members = spark.createDataFrame([(10, [0.5, 0.5]), (30, [0.5, 0.5])], "n_tokens long, posteriors array<double>")
+    with pytest.warns(UserWarning, match="missed"):
+        rates = mixing.fit_rates(members, [20.0, 10.0], cap=1.0, start=1.0)
+    assert not rates.reached and rates.expected == pytest.approx([15.0, 15.0], abs=0.1)
+
+
 def test_mixture_edges(spark, edge_docs, no_docs):
     labels = spark.createDataFrame([(1, "a"), (10, "b"), (None, "a"), (3, None), (9, "z")], "doc_id long, d string")
     for known in (labels, labels.limit(0)):
