@@ -14,15 +14,15 @@ from pyspark.sql import types as T
 
 from gaugeflow.llm.kernels import letter_digit_class, lower_table, pieces
 from gaugeflow.llm.tables import hash_share
-from gaugeflow.storage import materialise
+from gaugeflow.storage import join_stats, materialise, pin_small
 
 #: Hashed dimensions of the n-grams of one to three bytes.
 DIMENSIONS = 4096
 #: Texts per language that the classifier is fitted on (expected number; drawn by a hash of id and text).
 ROWS_PER_LANGUAGE = 1000
-#: Languages in a model: the most frequent ones. Bounds the model, which is broadcast.
-MAX_LANGUAGES = 64
 CENTROIDS = 4
+#: Centroids that a text is compared with at a time.
+CENTROID_BLOCK = 4096
 UNKNOWN = "und"
 SEED = 7
 
@@ -91,7 +91,8 @@ def _clustered(idf: np.ndarray, k: int, seed: int):
         nearest, distance = close.argmax(1), 1 - close.max(1)
         radius = [float(np.quantile(distance[nearest == j], 0.99)) if (nearest == j).any() else 0.0
                   for j in range(len(centers))]
-        return pd.DataFrame({"lang": sample["lang"].iloc[0], "radius": radius, "vector": list(centers)})
+        packed = [c.astype(np.float32).tobytes() for c in centers]
+        return pd.DataFrame({"lang": sample["lang"].iloc[0], "radius": radius, "vector": packed})
 
     return run
 
@@ -108,20 +109,22 @@ def fit_centroids(
 ) -> Centroids:
     """Learn from rows where ``usable`` holds and text and language are not null.
 
-    The fit reads about ``rows_per_language`` texts for each of at most 64 languages; the draw is a filter by hash whose
-    rate comes from exact counts, so no row order or partitioning matters.
+    Every language is learned. The fit reads about ``rows_per_language`` texts for each; the draw is a filter by hash whose
+    rate comes from exact counts, so no row order or partitioning matters. A rare draw of none takes the least hash. The
+    model has 64 KB a language and is broadcast.
     """
     rows = docs.where(usable & F.col(text).isNotNull() & F.col(lang).isNotNull()).select(
         F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"), F.col(lang).cast("string").alias("lang")
     )
-    counts = rows.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    if not counts:
+    draw = hash_share("id", "text", seed=seed)
+    counts, small = pin_small(rows.groupBy("lang").agg(
+        F.least(F.lit(1.0), rows_per_language / F.count("*")).alias("rate"), F.min(draw).alias("least")
+    ))
+    if counts.isEmpty():
         return Centroids([], np.zeros(0, int), np.zeros((0, DIMENSIONS)), np.zeros(0), np.ones(DIMENSIONS))
-    rate = F.lit(0.0)
-    for row in counts:
-        rate = F.when(F.col("lang") == row["lang"], rows_per_language / row["n"]).otherwise(rate)
+    rated = join_stats(rows.withColumn("draw", draw), counts, ["lang"], small)
     sample = materialise(
-        rows.where(hash_share("id", "text", seed=seed) < rate).select("lang", "text"), "languages"
+        rated.where((F.col("draw") < F.col("rate")) | (F.col("draw") == F.col("least"))).select("lang", "text"), "languages"
     )
     found = sample.select("text").mapInArrow(_document_frequency, "place long, n long").groupBy("place").agg(
         F.sum("n").alias("n")
@@ -131,13 +134,14 @@ def fit_centroids(
         seen[place + 1] = n
     idf = np.log((1 + seen[0]) / (1 + seen[1:])) + 1
     models = sample.groupBy("lang").applyInPandas(
-        _clustered(idf, centroids, seed), "lang string, radius double, vector array<float>"
-    ).collect()
-    models = sorted(models, key=lambda m: (m["lang"], m["radius"]))
+        _clustered(idf, centroids, seed), "lang string, radius double, vector binary"
+    )
+    models = sorted(materialise(models, "centroids").toLocalIterator(), key=lambda m: (m["lang"], m["radius"]))
     languages = sorted({m["lang"] for m in models})
+    place = {name: i for i, name in enumerate(languages)}
     return Centroids(
-        languages, np.array([languages.index(m["lang"]) for m in models], int),
-        np.array([m["vector"] for m in models], np.float32).reshape(-1, DIMENSIONS),
+        languages, np.array([place[m["lang"]] for m in models], int),
+        np.frombuffer(b"".join(m["vector"] for m in models), np.float32).reshape(-1, DIMENSIONS),
         np.array([m["radius"] for m in models]), idf,
     )
 
@@ -150,6 +154,7 @@ def predict_language(docs: DataFrame, model: Centroids, text: str = "text") -> D
     training texts by half as much again, and all ``und``. Ties go to the first language in order.
     """
     shared = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain values: workers need no import
+    block = CENTROID_BLOCK
     kind = T.StructType([
         T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
         T.StructField("rejected", T.BooleanType()),
@@ -166,10 +171,15 @@ def predict_language(docs: DataFrame, model: Centroids, text: str = "text") -> D
             if languages:
                 at = 0
                 for counts in gram_counts(pa.array(texts, pa.string(), from_pandas=True)):
-                    close = unit_rows(counts, idf) @ vectors.T
-                    best[at:at + len(close)] = close.argmax(1)
-                    score[at:at + len(close)] = np.clip(close.max(1), 0, 1)
-                    at += len(close)
+                    x, here = unit_rows(counts, idf), slice(at, at + len(counts))
+                    top = np.full(len(x), -np.inf)
+                    for first in range(0, len(vectors), block):
+                        close = x @ vectors[first:first + block].T
+                        nearer = close.max(1) > top
+                        best[here] = np.where(nearer, first + close.argmax(1), best[here])
+                        top = np.maximum(top, close.max(1))
+                    score[here] = np.clip(top, 0, 1)
+                    at += len(counts)
             names = [languages[owner[b]] if k else UNKNOWN for b, k in zip(best, known)]
             far = ~known if not languages else ~known | (1 - score > 1.5 * radius[best])
             yield pd.DataFrame({"lang_pred": names, "score": np.where(known, score, 0.0), "rejected": far})

@@ -82,6 +82,18 @@ def test_language_held_out_accuracy(spark, edge_docs, no_docs):
     assert language_id.predict_language(no_docs, model).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    names = [f"l{i:02d}" for i in range(70)]  # a language has its own letters; later ones are rarer
+    rows = [(1000 * i + k, f"{chr(97 + i % 26)}{chr(97 + i // 26)}q " * (5 + k), name)
+            for i, name in enumerate(names) for k in range(4 if i < 64 else 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit_centroids(docs, F.lit(True))
+    assert model.languages == names
+    found = language_id.predict_language(docs, model)
+    assert found.where("lang != lang_pred").count() == 0
+    assert language_id.fit_centroids(docs, F.lit(True), rows_per_language=0).languages == names
+
+
 def test_quality_held_out_accuracy(spark, edge_docs, no_docs):
     found = QUERIES["op9_quality_classifier"](spark, BIG)
     judged = found.join(spark.read.parquet(f"{BIG}/labels.parquet"), "doc_id").where("held_out").groupBy("quality").agg(
