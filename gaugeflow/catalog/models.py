@@ -20,9 +20,6 @@ from gaugeflow.sources import logs, registry
 from gaugeflow.storage import materialise, new_path
 from gaugeflow.streaming import jobs
 
-# A full search is 45 fits of up to 150 deep trees, about an hour on one machine, so this query alone draws from a
-# grid of its own. All other queries use the fixed settings.
-SEARCH = {"numTrees": [3, 5], "maxDepth": [3, 5], "minInstancesPerNode": [2, 4], "featureSubsetStrategy": ["sqrt", "log2"]}
 TARGET = fv.VALUE
 USED = f"""WITH {CLEANED}, {features_from("cleaned")},
 far AS (SELECT quantile_cont("{TARGET}", 0.01) AS a, quantile_cont("{TARGET}", 0.99) AS b FROM features),
@@ -52,7 +49,8 @@ def trained(spark, folder) -> Forest:
 def run(spark, folder):
     def make(s, f):
         rows = with_row_hash(stored_features(s, f))
-        return train_run(rows, TARGET, "row_id", new_path(s, "models"), "indicator_forest", "1.0")
+        return train_run(rows, TARGET, "row_id", new_path(s, "models"), "indicator_forest", "1.0",
+                         grid=fv.SEARCH_GRID, draws=fv.SEARCH_DRAWS, folds=fv.FOLDS)
     return kept("run", make, spark, folder)
 
 
@@ -115,11 +113,12 @@ def _errors_hold(tried):
 
 @query("random_search", "SELECT 2 AS n_settings, 2 AS n_distinct, true AS best_first, true AS errors_hold")
 def _random_search(spark, folder):
+    """Two settings, as the SQL has it; the whole search is part of ``train_run``."""
     rows = parts(spark, folder)
-    tried = random_search(Forest(), train_val(rows), features(rows), TARGET, "row_id", SEARCH, 2, 2)
+    tried = random_search(Forest(), train_val(rows), features(rows), TARGET, "row_id", fv.SEARCH_GRID, 2, fv.FOLDS)
     means = [r["mse_mean"] for r in tried]
     return spark.range(1).select(
-        F.lit(len(tried)).alias("n_settings"), F.lit(len({tuple(r[k] for k in SEARCH) for r in tried})).alias("n_distinct"),
+        F.lit(len(tried)).alias("n_settings"), F.lit(len({tuple(r[k] for k in fv.SEARCH_GRID) for r in tried})).alias("n_distinct"),
         F.lit(means == sorted(means)).alias("best_first"), F.lit(_errors_hold(tried)).alias("errors_hold"),
     )
 
@@ -174,14 +173,18 @@ def _feature_importance_topk(spark, folder):
 @query("model_report", USED + f"""SELECT count(*) AS n_rows, 'RandomForestRegressionModel' AS model_type,
   {fv.FOREST_SETTINGS["numTrees"]} AS n_trees, 'maxDepth={fv.FOREST_SETTINGS["maxDepth"]}' AS depth, true AS complete FROM used""")
 def _model_report(spark, folder):
+    """Trees and depth are those given to the run, as in the SQL; ``complete`` tells that the model has those found."""
     report = model_report(run(spark, folder))
     told = ["mae", "mse", "rmse", "r2", "cv_mse_mean", "cv_mse_std", "train_test_gap_pct", "top_features", "leakage_warnings", "dropped_columns"]
     complete = F.lit(True)
     for name in told:
         complete = complete & F.col(name).isNotNull()
+    found = F.regexp_extract("best_settings", r"numTrees=(\d+)", 1)
+    complete = complete & (F.col("n_settings_tried") == fv.SEARCH_DRAWS) & (found == F.col("n_trees").cast("string"))
     return report.select(
-        (F.col("n_train") + F.col("n_val") + F.col("n_test")).alias("n_rows"), "model_type", "n_trees",
-        F.regexp_extract("settings", r"maxDepth=\d+", 0).alias("depth"), complete.alias("complete"),
+        (F.col("n_train") + F.col("n_val") + F.col("n_test")).alias("n_rows"), "model_type",
+        F.regexp_extract("given_settings", r"numTrees=(\d+)", 1).cast("int").alias("n_trees"),
+        F.regexp_extract("given_settings", r"maxDepth=\d+", 0).alias("depth"), complete.alias("complete"),
     )
 
 

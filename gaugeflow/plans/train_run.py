@@ -30,6 +30,7 @@ class TrainRun:
     balance: dict = field(default_factory=dict)
     dropped: list[str] = field(default_factory=list)
     settings: dict = field(default_factory=dict)
+    given: dict = field(default_factory=dict)  # settings before the search
 
 
 def train_val(parts: DataFrame) -> DataFrame:
@@ -49,7 +50,8 @@ def train_run(
     both = split_overlap(train_val(parts), parts.where(F.col("split") == "test"), row_id)
     balance["n_overlap"] = both.count()
     features = [c for c in numeric_columns(parts) if c not in (target, row_id)]
-    forest = Forest(settings=dict(settings or fv.FOREST_SETTINGS))
+    given = dict(settings or fv.FOREST_SETTINGS)
+    forest = Forest(settings=dict(given))
     fit_rows = train_val(parts)
     search = random_search(forest, fit_rows, features, target, row_id, grid, draws, folds, seed) if grid else []
     cv = cross_validate(forest, fit_rows, features, target, row_id, folds, seed=seed)[0] if validate else None
@@ -63,7 +65,7 @@ def train_run(
         raise RuntimeError("the reloaded model has other features than the saved one")
     dropped = [c for c in df.columns if c not in parts.columns]
     return TrainRun(
-        reloaded, parts, metrics, cv, search, paths, leakage, balance, dropped, dict(forest.settings)
+        reloaded, parts, metrics, cv, search, paths, leakage, balance, dropped, dict(forest.settings), given
     )
 
 
@@ -85,10 +87,12 @@ def model_report(run: TrainRun, top: int = 10) -> DataFrame:
         *[F.lit(run.metrics.get(k)).cast("double").alias(k) for k in ("mae", "mse", "rmse", "r2", "mape_pct", "within_pct")],
         *[F.lit(cv.get(k)).cast("double").alias(f"cv_{k}") for k in ("mse_mean", "mse_std", "mse_min", "mse_max")],
         F.lit(", ".join(f"{k}={v}" for k, v in run.settings.items())).alias("settings"),
+        F.lit(", ".join(f"{k}={v}" for k, v in run.given.items())).alias("given_settings"),
         F.lit(", ".join(run.dropped)).alias("dropped_columns"),
         F.lit(run.balance.get("diff_pct")).cast("double").alias("train_test_gap_pct"),
         F.lit(run.balance.get("n_overlap")).cast("long").alias("n_overlap"),
         F.lit(", ".join(f"{k}={v}" for k, v in best.items())).alias("best_settings"),
+        F.lit(len(run.search)).alias("n_settings_tried"),
         F.lit(len(run.leakage)).alias("n_leakage_warnings"), F.lit("; ".join(warnings)).alias("leakage_warnings"),
         F.lit("; ".join(heaviest)).alias("top_features"),
     )

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from gaugeflow.operators import alerts, checks, drift, outliers, scoring, split
 from gaugeflow.operators.forest import Forest, cross_validate, random_draws
 from gaugeflow.operators.profile import feature_stats
+from gaugeflow import fixed_values as fv
+from gaugeflow.catalog import models
 from gaugeflow.plans.train_run import model_report, train_run
 from gaugeflow.sources import reference_stats, registry
 
@@ -71,6 +73,23 @@ def test_cross_validation_and_draws(spark, line):
     assert len(random_draws(grid, 15)) == 4
 
 
+def test_training_query_runs_the_whole_search(spark, monkeypatch):
+    asked = {}
+    monkeypatch.setattr(models, "kept", lambda label, make, s, f: make(s, f))
+    monkeypatch.setattr(models, "stored_features", lambda s, f: s.range(1))
+    monkeypatch.setattr(models, "train_run", lambda *a, **k: asked.update(k))
+    models.run(spark, "")
+    assert asked == {"grid": fv.SEARCH_GRID, "draws": fv.SEARCH_DRAWS, "folds": fv.FOLDS}
+
+
+def test_report_tells_what_the_search_found(spark, line, tmp_path):
+    grid = {"numTrees": [2, 3], "maxDepth": [2]}
+    run = train_run(line, "target", "id", str(tmp_path), "forest_search", "1.0", settings=SMALL, grid=grid, draws=2, folds=2)
+    report = model_report(run).first()
+    assert report["n_settings_tried"] == 2 and f"numTrees={report['n_trees']}," in report["best_settings"]
+    assert report["given_settings"] == ", ".join(f"{k}={v}" for k, v in SMALL.items())
+
+
 def test_train_run_saves_and_reloads(spark, line, tmp_path):
     run = train_run(line, "target", "id", str(tmp_path), "forest_vast", "1.0", settings=SMALL, folds=2)
     assert run.metrics["r2"] > 0.8 and run.forest.features == ["f1", "f2"]
