@@ -8,7 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gaugeflow.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup, quality, secret_scan, sharding, substring_dedup, token_counts
+from gaugeflow.llm import (
+    decontaminate, exact_dedup, language_id, mixing, near_dedup, packing, quality, search, secret_scan, sharding, spelling,
+    substring_dedup, token_counts,
+)
 from gaugeflow.llm.tables import crc_part, table, whole_text
 
 #: Folder of the public vocabulary files; never copied here.
@@ -126,3 +129,43 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "n_tokens", *[F.col("posteriors")[i].alias(f"p_{d}") for i, d in enumerate(model.domains)], "rate", "copies"
     )
+
+
+@query
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    found = spelling.group_spellings(table(spark, folder, "documents"), divisor=31)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+@query
+def op12_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack_documents(table(spark, folder, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op13_search(spark: SparkSession, folder: str) -> DataFrame:
+    index = search.build_index(table(spark, folder, "documents"))
+    return search.search(index, table(spark, folder, "benchmark"), k=20)
+
+
+TWINS["op13_search"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS terms FROM documents
+), q AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS term FROM benchmark
+), asked AS (SELECT item_id, term, count(*) AS times FROM q GROUP BY ALL),
+size AS (SELECT count(*) AS n_docs, sum(len(terms))::BIGINT AS n_words FROM d WHERE len(terms) > 0),
+held AS (SELECT r, doc_id, len(terms)::BIGINT AS n, unnest(terms) AS term FROM d),
+tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM held WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+weight AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+  FROM tf, size GROUP BY term),
+impact AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_words))) AS i
+  FROM tf JOIN weight USING (term), size),
+scored AS (SELECT item_id, r, doc_id, sum(times * i)::BIGINT AS score FROM impact JOIN asked USING (term) GROUP BY ALL)
+SELECT item_id, rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scored
+  WHERE score > 0) WHERE rank <= 20
+"""

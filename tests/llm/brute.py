@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter
 
 BLANKS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +83,57 @@ def secrets(text):
     out += [(m.start(), 1, m.end(), "access") for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
     out += [(m.start(), 2, m.end(), "hex") for m in re.finditer(r"[0-9a-f]+", text) if len(m.group()) >= 32]
     return sorted(out)
+
+
+def _one_edit(a, b):
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) - len(a) == 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def spellings(rows, divisor=0, least_length=7, least_count=2, ratio=10):
+    """word -> (n, n_near, form, form_n, root); looks at all pairs of words of about the same length."""
+    total = Counter()
+    for i, text in rows:
+        for run in re.findall("[A-Za-z\u00C0-\u00FF]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            if divisor and h % divisor == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            total[run] += 1
+    words = {w: n for w, n in total.items() if len(w) >= least_length and n >= least_count}
+    near = {w: [v for v in words if abs(len(v) - len(w)) < 2 and _one_edit(v, w)] for w in words}
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda v: (-words[v], v), default=None)
+        if best and words[best] >= ratio * n:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {w: (n, len(near[w]), form.get(w), words.get(form.get(w)), root(w)) for w, n in words.items()}
+
+
+def ranking(docs, items, k):
+    """(item_id, rank, doc_id, score) rows of the formula, every document against every item."""
+    term = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+    held = [(i, Counter(term.findall(lowered(t)))) for i, t in docs]
+    size, n_words = sum(bool(c) for _, c in held), sum(sum(c.values()) for _, c in held)
+    df = Counter(t for _, c in held for t in c)
+    out = []
+    for item, text in items:
+        asked, scored = Counter(term.findall(lowered(text))), []
+        for i, c in held:
+            m = 75 + (25 * sum(c.values()) * size) // max(n_words, 1)
+            score = sum(
+                times * math.floor(1000 * math.log((2 * size + 2) / (2 * df[t] + 1))) * (10**9 * c[t] // (1000 * c[t] + 12 * m))
+                for t, times in asked.items() if c[t]
+            )
+            scored.append((-score, i is None, i or 0, i))
+        best = sorted(x for x in scored if x[0] < 0)[:k]
+        out += [(item, rank + 1, i, -score) for rank, (score, _, _, i) in enumerate(best)]
+    return out
