@@ -22,12 +22,15 @@ from gaugeflow.storage import free, materialise
 REGISTERS, MANTISSA_BITS, BAND = 128, 10, 4
 #: The estimate has a standard deviation of 0.035 at 0.8. Pairs within four of these below the threshold are confirmed.
 MARGIN = 4.0
-#: Members of a bucket that are compared with each other in one task; larger buckets are split into pairs of blocks.
-BLOCK = 1024
+#: Members of a bucket that are compared in one task; larger buckets are split, see ``_across``.
+BLOCK = 4096
 #: Pairs whose indexes a task holds before it judges them.
 PAIRS_AT_ONCE = 1 << 19
-#: Representatives of a cell, in which full sets meet for the last comparisons.
-CELL = 2048
+#: Shingles of a cell, in which full sets meet for the last comparisons: 16 MB.
+CELL_SHINGLES = 1 << 21
+#: Most rounds in which the members of large buckets outside their largest component are compared with new leaders, and
+#: the leaders of a round.
+STAR_ROUNDS, LEADERS = 4, 4
 
 
 def _sets(column: pa.Array, size: int) -> Iterator[np.ndarray]:
@@ -261,28 +264,43 @@ def _cross_pairs(similarity: float, best_only: bool):
             ["low", "high", "rep", "partners"],
         )
 
+    def met(rows: dict, a: int, b: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of rows a to b that a block is there for, some members outside the largest component at a time."""
+        if rows["low"][a] == rows["high"][a]:
+            if b - a <= 64:
+                if b - a not in triangles:
+                    triangles[b - a] = np.triu_indices(b - a, 1)
+                yield triangles[b - a]
+                return
+            _, label, count = np.unique(rows["label"][a:b], return_inverse=True, return_counts=True)
+            most = label == count.argmax()
+            left = np.flatnonzero(~most)
+            right = np.concatenate([left, np.flatnonzero(most)])
+            later = np.arange(1, len(left) + 1)  # pairs among the rest once only
+        else:
+            low = rows["block"][a:b] == rows["low"][a]
+            left, right = np.flatnonzero(~low), np.flatnonzero(low)
+            later = np.zeros(len(left), int)
+        step = max(1, PAIRS_AT_ONCE // max(len(right), 1))
+        for at in range(0, len(left), step):
+            i, j = np.meshgrid(np.arange(at, min(at + step, len(left))), np.arange(len(right)), indexing="ij")
+            use = j >= later[i]
+            yield left[i[use]], right[j[use]]
+
     def compared(rows: dict, starts: np.ndarray, stops: np.ndarray) -> Iterator[pa.RecordBatch]:
         mixed = np.minimum.reduceat(rows["label"], starts) != np.maximum.reduceat(rows["label"], starts)
         left, right, waiting = [], [], 0
         for a, b in zip(starts[mixed].tolist(), stops[mixed].tolist()):
-            if rows["low"][a] == rows["high"][a]:
-                if b - a not in triangles:
-                    if b - a > 64:
-                        triangles.clear()
-                    triangles[b - a] = np.triu_indices(b - a, 1)
-                i, j = triangles[b - a]
-            else:
-                low = rows["block"][a:b] == rows["low"][a]
-                i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(low), np.flatnonzero(~low)))
-            i, j = i + a, j + a
-            smaller, larger = np.minimum(rows["n"][i], rows["n"][j]), np.maximum(rows["n"][i], rows["n"][j])
-            use = (rows["label"][i] != rows["label"][j]) & (smaller >= similarity * larger - 1e-9)
-            left.append(i[use])
-            right.append(j[use])
-            waiting += int(use.sum())
-            if waiting > PAIRS_AT_ONCE:
-                yield judged(rows, np.concatenate(left), np.concatenate(right))
-                left, right, waiting = [], [], 0
+            for i, j in met(rows, a, b):
+                i, j = i + a, j + a
+                smaller, larger = np.minimum(rows["n"][i], rows["n"][j]), np.maximum(rows["n"][i], rows["n"][j])
+                use = (rows["label"][i] != rows["label"][j]) & (smaller >= similarity * larger - 1e-9)
+                left.append(i[use])
+                right.append(j[use])
+                waiting += len(left[-1])
+                if waiting > PAIRS_AT_ONCE:
+                    yield judged(rows, np.concatenate(left), np.concatenate(right))
+                    left, right, waiting = [], [], 0
         if waiting:
             yield judged(rows, np.concatenate(left), np.concatenate(right))
 
@@ -306,30 +324,75 @@ def _cross_pairs(similarity: float, best_only: bool):
     return run
 
 
-def _across(crowded: DataFrame, labels: DataFrame, reps: DataFrame, similarity: float, best_only: bool) -> DataFrame:
-    """Promising partners in different components, from buckets where not all pairs have been judged yet.
+def _joined(labels: DataFrame, more: DataFrame) -> DataFrame:
+    """Components after further links; those known so far are contracted to one edge a node."""
+    known = labels.select(F.col("node").alias("u"), F.col("root").alias("v")).where("u != v")
+    return materialise(connected_components(known.unionByName(more)), "labels")
 
-    ``low, high, rep, partners``: members are dealt to cells by hash; low and high are the cells of both sides.
+
+def _mixed(crowded: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members ``band, value, rep, label, main, m, c`` of the buckets that still hold several components.
+
+    ``main`` tells the ``c`` members of the bucket's largest component from the rest of its ``m`` members. Buckets of three
+    members or less have been judged whole.
     """
     labelled = crowded.where("m > 3").join(labels, crowded["rep"] == labels["node"], "left").select(
-        "band", "value", "m", "rep", F.coalesce("root", "rep").alias("label")
+        "band", "value", "rep", F.coalesce("root", "rep").alias("label")
     )
-    mixed = labelled.groupBy("band", "value").agg(
-        F.min("label").alias("x"), F.max("label").alias("y")
-    ).where("x != y").select("band", "value")
-    mixed = materialise(mixed, "mixed")
-    inside = labelled.join(mixed, ["band", "value"])
-    cells = math.ceil((inside.agg(F.approx_count_distinct("rep")).first()[0] or 1) / CELL)
-    blocks = F.ceil(F.col("m") / BLOCK)
-    dealt = inside.withColumn("block", F.pmod(F.xxhash64("rep"), blocks)).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))
-    ).join(reps.select("rep", "n", "bands"), "rep").select(
-        F.col("band").cast("long").alias("band"), "value", F.least("block", "other").alias("low"),
-        F.greatest("block", "other").alias("high"), "block", "rep", "label", "n", "bands",
+    parts = labelled.groupBy("band", "value", "label").agg(F.count("*").alias("c"))
+    mixed = parts.groupBy("band", "value").agg(
+        F.max(F.struct("c", "label")).alias("most"), F.sum("c").alias("m"), F.count("*").alias("parts")
+    ).where("parts > 1").select("band", "value", "m", F.col("most.c").alias("c"), F.col("most.label").alias("most"))
+    return labelled.join(materialise(mixed, "mixed"), ["band", "value"]).withColumn("main", F.col("label") == F.col("most"))
+
+
+def _led(inside: DataFrame, turn: int) -> DataFrame:
+    """Pairs ``a, b`` of each member outside the largest component with new leaders, half of them inside it."""
+    leaders = [
+        F.min_by(F.when(F.col("main") == half, F.col("rep")), F.when(F.col("main") == half, F.xxhash64("rep", F.lit(turn), F.lit(i))))
+        for i in range(LEADERS // 2) for half in (True, False)
+    ]
+    chosen = inside.groupBy("band", "value").agg(F.array(*leaders).alias("leaders"))
+    return inside.where("NOT main").join(chosen, ["band", "value"]).select(
+        "rep", F.explode("leaders").alias("other")
+    ).where("rep != other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b")).distinct()
+
+
+def dealt(inside: DataFrame, block: int) -> DataFrame:
+    """``inside`` with the ``block`` of each member and one row per pair of blocks, ``low`` and ``high``, that it visits.
+
+    A bucket of up to ``block`` members is compared in one place. In a larger one the members of the largest component,
+    which need not be compared with each other, go to a block each, and only the rest visits all of these blocks.
+    """
+    blocks, rest_blocks = F.ceil(F.col("c") / block), F.ceil((F.col("m") - F.col("c")) / block)
+    own = F.when(F.col("m") <= block, F.lit(0)).when(
+        F.col("main"), -1 - F.pmod(F.xxhash64("rep"), blocks)
+    ).otherwise(F.pmod(F.xxhash64("rep"), rest_blocks))
+    place = F.struct(F.col("block").alias("low"), F.col("block").alias("high"))
+    to_rest = F.transform(F.sequence(F.lit(0).cast("long"), rest_blocks - 1), lambda r: F.struct(
+        F.least("block", r).alias("low"), F.greatest("block", r).alias("high")
+    ))
+    to_main = F.transform(F.sequence(F.lit(1).cast("long"), blocks), lambda x: F.struct(
+        (-x).alias("low"), F.col("block").alias("high")
+    ))
+    return inside.withColumn("block", own.cast("long")).select("*", F.inline(
+        F.when(F.col("m") <= block, F.array(place)).when(F.col("main"), to_rest).otherwise(F.concat(to_main, to_rest))
+    ))
+
+
+def _across(inside: DataFrame, reps: DataFrame, similarity: float, best_only: bool, block: int) -> DataFrame:
+    """Promising partners in different components, from buckets where not all pairs have been judged yet.
+
+    ``low, high, rep, partners``: members are dealt to cells by hash; low and high are the cells of both sides.
+    """
+    sizes = inside.select("rep").distinct().join(reps.select("rep", "n"), "rep").agg(F.sum("n")).first()[0]
+    cells = math.ceil((sizes or 1) / CELL_SHINGLES)
+    sent = dealt(inside, block).join(reps.select("rep", "n", "bands"), "rep").select(
+        F.col("band").cast("long").alias("band"), "value", "low", "high", "block", "rep", "label", "n", "bands",
         F.pmod(F.xxhash64("rep"), F.lit(cells)).alias("cell"),
     )
     key = ["band", "value", "low", "high"]
-    return dealt.repartition(*key).sortWithinPartitions(*key).mapInArrow(
+    return sent.repartition(*key).sortWithinPartitions(*key).mapInArrow(
         _cross_pairs(similarity, best_only), "low long, high long, rep long, partners array<long>"
     )
 
@@ -340,6 +403,7 @@ def near_duplicates(
     text: str = "text",
     shingle: int = 5,
     percent: int = 80,
+    block: int = BLOCK,
 ) -> DataFrame:
     """One row per input row: ``doc_id, n_shingles, component_id, kept``.
 
@@ -351,12 +415,14 @@ def near_duplicates(
     1. HyperMinHash registers of each set; equal sets become one representative, so copies cost nothing more.
     2. Bands of four registers name buckets. Each member is compared with three members of its bucket only; estimates
        first, then full sets; confirmed links give components.
-    3. Buckets of more than three members (in smaller ones all pairs are judged by now) that still hold several
-       components are compared across components, in blocks. First each member's best partner is confirmed, which
+    3. In buckets of more than ``block`` members, those outside the bucket's largest component are compared with new
+       leaders, round by round, as long as this joins some and more than a few are left.
+    4. Buckets that still hold several components are compared across components, in blocks; only members outside the
+       largest component visit all blocks of it. First each member's best partner is confirmed, which
        joins most of what belongs together; then all pairs with a promising estimate that still lie across components.
-       Partners travel as lists, one row a member, and are judged on full sets where these meet in cells.
+       Partners travel as lists, one row a member, and are judged on full sets where these meet in cells of bounded size.
        So every pair that shares a bucket is either connected already or has been judged, and no group is expanded
-       into all its pairs.
+       into all its pairs. What is sent grows with the members, plus the product of the rest and the blocks of a bucket.
     """
     similarity = percent / 100
     profiles = materialise(shingle_profiles(docs, doc_id, text, shingle), "profiles")
@@ -380,13 +446,30 @@ def near_duplicates(
     links = materialise(confirmed(pairs, sets, percent), "links")
     labels = materialise(connected_components(links), "labels")
     free(sets)
+    for turn in range(STAR_ROUNDS):
+        large = materialise(_mixed(crowded.where(F.col("m") > block), labels), "large-buckets")
+        visits = large.agg(F.count("*"), F.sum(F.when(~F.col("main"), F.ceil(F.col("m") / block)))).first()
+        if (visits[1] or 0) <= visits[0] / 4:
+            break
+        pairs = materialise(promising(_led(large, turn), reps, similarity), "pairs")
+        sets = full_sets(pairs.select(F.explode(F.array("a", "b")).alias("rep")), reps, docs, doc_id, text, shingle)
+        more = materialise(confirmed(pairs, sets, percent), "links")
+        found = more.join(labels.select(F.col("node").alias("u"), F.col("root").alias("root_u")), "u", "left").join(
+            labels.select(F.col("node").alias("v"), F.col("root").alias("root_v")), "v", "left"
+        ).where(F.coalesce("root_u", "u") != F.coalesce("root_v", "v")).limit(1).count()
+        if not found:
+            break
+        labels = _joined(labels, more)
     for best_only in (True, False):
-        lists = materialise(_across(crowded, labels, reps, similarity, best_only), "partners")
+        inside = materialise(_mixed(crowded, labels), "inside")
+        if not inside.limit(1).count():
+            break
+        lists = materialise(_across(inside, reps, similarity, best_only, block), "partners")
         sets = full_sets(lists, reps, docs, doc_id, text, shingle)
         more = materialise(confirmed_in_cells(lists, sets, percent), "links")
-        links = links.unionByName(more)
-        labels = materialise(connected_components(links), "labels")
+        labels = _joined(labels, more)
         free(lists)
+        free(inside)
     free(crowded)
 
     known = reps.select("rep", "digest", "row").join(labels, reps["rep"] == labels["node"], "left").withColumn(
@@ -394,12 +477,12 @@ def near_duplicates(
     )
     least = known.groupBy("root").agg(F.min("row").alias("component_id"))
     classes = known.join(least, "root").select(F.col("digest").alias("set_digest"), "component_id")
-    return profiles.join(
-        classes, (F.col("digest") == F.col("set_digest")) & (F.col("n") > 0), "left"
-    ).select(
-        F.col("row").alias(doc_id), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("row")).alias("component_id"), "digest",
-    ).withColumn("kept", F.col(doc_id).eqNullSafe(F.col("component_id")))
+    filled = profiles.where("n > 0").join(classes, F.col("digest") == F.col("set_digest"))
+    empty = profiles.where("n = 0").withColumn("component_id", F.col("row"))  # all of one digest, so they are kept apart
+    columns = [F.col("row").alias(doc_id), F.col("n").alias("n_shingles"), "component_id", "digest"]
+    return filled.select(*columns).unionByName(empty.select(*columns)).withColumn(
+        "kept", F.col(doc_id).eqNullSafe(F.col("component_id"))
+    )
 
 
 def drop_near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 5,
