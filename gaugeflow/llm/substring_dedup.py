@@ -21,6 +21,8 @@ from gaugeflow.llm.tables import text_bytes, whole_text
 
 #: Windows that a map task hashes before it sends them; repeats within them are settled on the spot.
 CHUNK_WINDOWS = 1 << 20
+#: Documents after which it sends them too, however short they are.
+CHUNK_DOCS = 1 << 16
 #: Text bytes whose windows meet in one bucket (about 10 bytes per word there); raise it with the executors' memory.
 BUCKET_BYTES = 16 << 20
 CHECK_BASE, CHECK_SALT = 0xA0761D6478BD642F, 0xE7037ED1A0B428DB
@@ -62,9 +64,9 @@ def _hashed_windows(size: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         is_word = space_class()
         byte_powers, word_powers, check_powers = Powers(BYTE_BASE), Powers(WORD_BASE), Powers(CHECK_BASE)
-        parts, windows, number = [], 0, 0
+        parts, windows, held, number = [], 0, 0, 0
         for batch in batches:
-            for row, data, offsets in pieces(batch.column(1)):
+            for row, data, offsets in pieces(batch.column(1), max_rows=CHUNK_DOCS):
                 words = Words(data, offsets, is_word, byte_powers)
                 hashes, _ = words.grams(size, word_powers)
                 checks = words.grams(size, check_powers, CHECK_SALT)[0] >> np.uint64(48)
@@ -73,10 +75,10 @@ def _hashed_windows(size: int, buckets: int):
                 counts = np.maximum(np.diff(words.first) - size + 1, 0)
                 keys = b"".join(batch.column(0).slice(row, len(counts)).to_pylist())
                 parts.append((keys, counts, values, bucket))
-                windows += len(hashes)
-                if windows >= CHUNK_WINDOWS:
+                windows, held = windows + len(hashes), held + len(counts)
+                if windows >= CHUNK_WINDOWS or held >= CHUNK_DOCS:
                     yield from send(parts, number)
-                    parts, windows, number = [], 0, number + 1
+                    parts, windows, held, number = [], 0, 0, number + 1
         if parts:
             yield from send(parts, number)
 
@@ -119,6 +121,8 @@ def _merged(size: int):
         keys = table["data"][0].as_py()
         counts = np.frombuffer(table["extra"][0].as_py(), "<i4").astype(np.int64)
         windows = np.unique(np.concatenate([from_planes(x) for x in messages["places"].to_pylist()]))
+        if not len(windows):  # a chunk in which nothing is repeated
+            return pa.table({"key": pa.array([], pa.binary()), "spans": pa.array([], pa.list_(pa.int64()))})
         ends = np.cumsum(counts)
         owner = np.searchsorted(ends, windows, "right")
         position = windows - (ends - counts)[owner]

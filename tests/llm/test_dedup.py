@@ -77,6 +77,36 @@ def test_windows_repeated_in_many_chunks(spark, monkeypatch):
     assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in got} == expected
 
 
+@pytest.mark.parametrize("kind", ["clean", "short", "mixed"])
+def test_windows_of_chunks_without_any_repeat(spark, kind):
+    """No window of a chunk repeats: all of them, or next to chunks that do, one task each."""
+    clean = [(i, " ".join(f"w{i}x{j}" for j in range(50))) for i in range(10)]
+    short = [(100, None), (101, ""), (102, "a b c"), (103, "a b c")]
+    copies = [(200, "tick tock " * 30), (201, "tick tock " * 30)]
+    rows = {"clean": clean, "short": short, "mixed": clean + short + copies}[kind]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(len(rows), "doc_id")
+    expected = {i: r for (i, _), r in zip(rows, brute.windows_removed(rows, 6))}
+    got = substring_dedup.remove_repeated_windows(docs, window=6).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in got} == expected
+
+
+def test_windows_flush_by_documents(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "CHUNK_DOCS", 3)
+    rows = [(i, "one two three four five" if i % 4 == 1 else "short") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    expected = {i: r for (i, _), r in zip(rows, brute.windows_removed(rows, 4))}
+    got = substring_dedup.remove_repeated_windows(docs, window=4).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in got} == expected
+
+
+def test_windows_of_very_long_copies(spark):
+    """Texts above the size of a piece, next to tasks with short texts only."""
+    long = " ".join(f"w{i % 70001}" for i in range(400_000))
+    docs = spark.createDataFrame([(1, long), (2, long), (3, "a b"), (4, None)], "doc_id long, text string").repartition(4, "doc_id")
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.remove_repeated_windows(docs).collect()}
+    assert got == {1: (400_000, 400_000, ""), 2: (400_000, 400_000, ""), 3: (2, 0, "a b"), 4: (0, 0, "")}
+
+
 def test_windows_empty_table(no_docs):
     assert substring_dedup.remove_repeated_windows(no_docs).count() == 0
 
@@ -138,6 +168,53 @@ def test_near_edges_and_clusters(spark, edge_rows):
     assert near_rows(found) == brute.near_classes(dict(rows), 4, 80)
 
 
+def cluster_rows(copies, strangers, seed=4):
+    """Near copies of one text with a few changed words each, and texts that share three quarters of it only."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(160)]
+    rows = []
+    for i in range(copies):
+        words = list(base)
+        for at in rng.sample(range(160), 3):
+            words[at] = f"n{rng.randrange(10**6)}"
+        rows.append((i, " ".join(words)))
+    for i in range(strangers):
+        words = list(base)
+        cut = rng.randrange(120)
+        words[cut:cut + 40] = [f"s{i}x{j}" for j in range(40)]
+        rows.append((10_000 + i, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize("block", [8, 4096])
+def test_near_in_large_buckets(spark, block):
+    """Buckets far above the block: rounds of leaders, the largest component dealt once, the rest to all blocks."""
+    rows = cluster_rows(60, 25)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = near_dedup.near_duplicates(docs, shingle=4, percent=80, block=block)
+    assert near_rows(found) == brute.near_classes(dict(rows), 4, 80)
+
+
+def test_rows_sent_grow_with_a_group_not_with_its_square(spark):
+    """Twice and four times the members of one bucket: what visits blocks grows in proportion."""
+    sent = []
+    for members in (2000, 4000, 8000):
+        rest = F.col("id") % 40 == 0
+        inside = spark.range(members).select(
+            F.lit(1).alias("band"), F.lit(7).cast("long").alias("value"), F.col("id").alias("rep"),
+            F.when(rest, F.col("id")).otherwise(1).alias("label"), (~rest).alias("main"),
+            F.lit(members).cast("long").alias("m"), F.lit(members - members // 40).cast("long").alias("c"),
+        )
+        sent.append(near_dedup.dealt(inside, 256).count())
+        blocks = near_dedup.dealt(inside, 256).groupBy("low", "high").count()
+        assert blocks.agg(F.max("count")).first()[0] < 256 * 2
+        pairs = near_dedup.dealt(inside, 256).alias("x").join(near_dedup.dealt(inside, 256).alias("y"), ["low", "high"]).where(
+            "x.rep < y.rep AND x.label <> y.label AND (low = high OR (x.block = low) <> (y.block = low))")
+        n, rest = members - members // 40, members // 40
+        assert pairs.select("x.rep", "y.rep").distinct().count() == n * rest + rest * (rest - 1) // 2 == pairs.count()
+    assert sent[1] <= 2.6 * sent[0] and sent[2] <= 2.6 * sent[1]
+
+
 def test_near_on_documents(documents, texts):
     assert near_rows(near_dedup.near_duplicates(documents, shingle=5, percent=80)) == brute.near_classes(texts, 5, 80)
 
