@@ -25,9 +25,10 @@ VOCABULARY = 20_000
 LEAST_COUNT = 5
 #: Temperatures tried on the held-out fifth of the labelled sample.
 TEMPERATURES = (1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0, 16.0)
+#: Steps of the descent at most, and the gap of a domain that counts as none.
 MAX_STEPS, TOLERANCE = 60, 1e-4
-#: Multiples of a Newton step that are tried, and the weight of the ridge on the multipliers.
-STEP_LENGTHS, RIDGE = (2.0**-12, 2.0**-8, 2.0**-5, 2.0**-3, 0.25, 0.5, 0.75, 1.0, 2.0, 4.0, 16.0, 64.0), 1e-5
+#: A longer step may not raise the squared gaps above the largest of so many before it.
+LOOK_BACK = 5
 SEED = 23
 #: What separates words here: blanks and the usual stops.
 SEPARATORS = r"[\x20\x09-\x0D.,;:]+"
@@ -148,10 +149,10 @@ def domain_posteriors(docs: DataFrame, model: DomainModel, doc_id: str = "doc_id
 
 @dataclass
 class Rates:
-    """Rates as a function of a row: ``start - tokens * (posteriors . multipliers)`` within zero and ``cap``."""
+    """Rates as a function of a row: from ``start``, each step takes off posteriors . step and projects to the bounds."""
 
     start: float
-    multipliers: list[float]  # one per domain
+    steps: list[list[float]]  # one number per domain and step
     cap: float | None
     expected: list[float]  # tokens of each domain at these rates
     off: float  # largest gap of a domain to its target, as a share of the larger of the tokens it has and the target
@@ -160,17 +161,15 @@ class Rates:
     def reached(self) -> bool:
         return self.off <= TOLERANCE
 
-    def raw(self, tokens: Column, posteriors: Column, multipliers: Sequence[float] | None = None) -> Column:
-        chosen = self.multipliers if multipliers is None else multipliers
-        return F.lit(float(self.start)) - tokens * sum(
-            (posteriors[i] * float(x) for i, x in enumerate(chosen)), F.lit(0.0)
-        )
+    def of(self, posteriors: Column) -> Column:
+        """The rate of a row, by replaying the steps."""
+        def stepped(rate: Column, step: Column) -> Column:
+            moved = rate - F.aggregate(F.zip_with(posteriors, step, lambda p, s: p * s), F.lit(0.0), lambda a, x: a + x)
+            return F.greatest(F.lit(0.0), moved if self.cap is None else F.least(F.lit(float(self.cap)), moved))
 
-    def within(self, raw: Column) -> Column:
-        return F.greatest(F.lit(0.0), raw if self.cap is None else F.least(F.lit(float(self.cap)), raw))
-
-    def of(self, tokens: Column, posteriors: Column) -> Column:
-        return self.within(self.raw(tokens, posteriors))
+        if not self.steps:
+            return F.lit(float(self.start))
+        return F.aggregate(F.lit(self.steps).cast("array<array<double>>"), F.lit(float(self.start)), stepped)
 
 
 def fit_rates(
@@ -183,57 +182,54 @@ def fit_rates(
 ) -> Rates:
     """Nonnegative rates r (at most ``cap``) with sum of r * tokens * posterior close to the target of each domain.
 
-    Of all rates that meet the targets these are the nearest to ``start`` in squares. They are one projected step from
-    it, along one multiplier per domain; the multipliers minimise the convex dual by Newton steps. Its matrix is summed
-    over the rows whose unprojected rate lies within the bounds, so rows already at a bound (very long ones, mostly) do not
-    shorten the steps of the others; the length of a step is chosen among several. A weak ridge keeps targets that are out
-    of reach finite: then the squared gaps, as shares of the domains, are about the least possible. Where a gap stays,
-    ``reached`` is False and a warning names it. A step needs two aggregates over the table; no state is kept per row.
+    Projected gradient on the least squares of the gaps, each square divided by the tokens of its domain. The gradient of
+    a row is its tokens times posteriors . gaps / tokens of the domains; the step of a row is scaled by one over its
+    tokens, so very long rows neither set the step for all nor move further than short ones. In this scale a step of
+    length one never overshoots, whatever the data. Longer ones (Barzilai-Borwein, from sums over the rows) are taken as
+    long as the squares do not rise above those of the last steps, else the step is taken again with length one. After
+    each step rates are projected to the bounds. A step is one aggregate over the table; a row keeps no state, its rate
+    is replayed from the steps. Where a gap stays, ``reached`` is False and a warning names it.
     """
     n = len(targets)
     mass = [F.col(tokens) * F.col(posteriors)[i] for i in range(n)]
-    first = members.agg(F.count("*"), *[F.sum(m) for m in mass]).first()
-    have, want = np.array([x or 0.0 for x in first[1:]], float), np.array(targets, float)
+    have = np.array([x or 0.0 for x in members.agg(*[F.sum(m) for m in mass]).first()], float)
+    want = np.array(targets, float)
     if start is None:
         start = float(want.sum() / have.sum()) if have.sum() else 0.0
-    rates = Rates(start, [0.0] * n, cap, have.tolist(), 0.0)
-    unit = np.where(have > 0, have, 1.0)  # sums and multipliers are in shares of the domains
-    goal, ridge, share = want / unit, RIDGE / max(first[0], 1), np.maximum(have, want)
+    unit = np.where(have > 0, have, 1.0)
+    share = np.maximum(have, want)
     share = np.where(share > 0, share, 1.0)
-    pairs = [(i, j) for i in range(n) for j in range(i, n)]
-
-    def at(points: Sequence[np.ndarray], matrix: bool) -> tuple[np.ndarray, np.ndarray]:
-        """Tokens by domain at each point; the matrix of the rows within the bounds at the first, if asked for."""
-        raws = [rates.raw(F.col(tokens), F.col(posteriors), (x / unit).tolist()) for x in points]
-        inside = (raws[0] >= 0) & (raws[0] <= (math.inf if cap is None else float(cap)))
-        found = members.agg(
-            *[F.sum(rates.within(raw) * m) for raw in raws for m in mass],
-            *[F.sum(F.when(inside, (mass[i] / float(unit[i])) * (mass[j] / float(unit[j])))) for i, j in pairs if matrix],
-        ).first()
-        values = np.array([x or 0.0 for x in found], float)
-        k, gram = n * len(points), np.zeros((n, n))
-        for (i, j), x in zip(pairs, values[k:]):
-            gram[i, j] = gram[j, i] = x
-        return values[:k].reshape(-1, n), gram
-
-    point = np.zeros(n)
-    (got,), gram = at([point], True)
+    rates = Rates(start, [], cap, (start * have).tolist(), 0.0)
+
+    def squares(expected: np.ndarray) -> float:
+        return float(((expected - want) ** 2 / unit).sum())
+
+    got, length = start * have, 1.0
+    past = [squares(got)]
     for _ in range(MAX_STEPS):
-        slope = goal - got / unit + ridge * point
-        if (np.abs(got - want) / share).max() <= TOLERANCE or np.abs(slope).max() <= TOLERANCE / 10:
+        if (np.abs(got - want) / share).max(initial=0.0) <= TOLERANCE:
             break
-        step = -np.linalg.solve(gram + ridge * np.eye(n), slope)
-        points = [point + length * step for length in STEP_LENGTHS]
-        there, _ = at(points, False)
-        slopes = goal - there / unit + ridge * np.array(points)
-        norms, falling = np.linalg.norm(slopes, axis=1), np.flatnonzero(slopes @ step <= 0)
-        best = int(norms.argmin())
-        if norms[best] > np.linalg.norm(slope) / 2:  # else as far as the dual still falls
-            best = int(falling[-1]) if len(falling) else 0
-        point = points[best]
-        (got,), gram = at([point], True)
-    rates.multipliers, rates.expected = (point / unit).tolist(), got.tolist()
-    rates.off = float((np.abs(got - want) / share).max())
+        before = rates.of(F.col(posteriors))
+        rates.steps.append((length * (got - want) / unit).tolist())
+        after = rates.of(F.col(posteriors))
+        rows = members.select(*[m.alias(f"m{i}") for i, m in enumerate(mass)], F.col(tokens).alias("t"),
+                              before.alias("before"), after.alias("after"))
+        found = rows.agg(*[F.sum(F.col("after") * F.col(f"m{i}")) for i in range(n)],
+                         F.sum(F.col("t") * (F.col("after") - F.col("before")) ** 2)).first()
+        *there, moved = [x or 0.0 for x in found]
+        there = np.array(there, float)
+        if length > 1 and squares(there) > max(past[-LOOK_BACK:]):
+            rates.steps.pop()
+            length = 1.0
+            continue
+        gained, bent = past[-1] - squares(there), float(((there - got) ** 2 / unit).sum())
+        got = there
+        past.append(squares(got))
+        if moved <= 1e-12 * have.sum() or length == 1 and 0 <= gained <= 1e-7 * past[-2]:
+            break  # the bounds allow no more
+        length = max(1.0, moved / bent) if bent > 0 else 1.0
+    rates.expected = got.tolist()
+    rates.off = float((np.abs(got - want) / share).max(initial=0.0))
     if not rates.reached:
         warnings.warn(f"mixture targets are missed by up to {rates.off:.2%} of a domain", stacklevel=2)
     return rates
@@ -264,7 +260,7 @@ def mixture_rates(
         budget = float(members.agg(F.sum("n_tokens")).first()[0] or 0)
     total = sum(weights.values())
     rates = fit_rates(members, [budget * weights[d] / total for d in model.domains], cap)
-    return members.withColumn("rate", rates.of(F.col("n_tokens"), F.col("posteriors"))).select(
+    return members.withColumn("rate", rates.of(F.col("posteriors"))).select(
         F.col("row").alias(doc_id), "n_tokens", "posteriors", "rate",
     ).withColumn("copies", copies_of(F.col("rate"), doc_id))
 
@@ -285,7 +281,7 @@ def keep_mixture(
     sums = members.agg(*[F.sum(F.col("n_tokens") * F.col("posteriors")[i]) for i in range(len(model.domains))]).first()
     targets = [(x or 0.0) * factors.get(d, 1.0) for d, x in zip(model.domains, sums)]
     rates = fit_rates(members, targets, cap=1.0, start=1.0)
-    rate = rates.of(F.col("n_tokens"), F.col("posteriors"))
+    rate = rates.of(F.col("posteriors"))
     kept = members.where(hash_share("row", seed=SEED + 2) < rate).select(
         F.col("row").alias("_kept_id"), F.col("text_hash").alias("_kept_hash")
     )

@@ -131,7 +131,7 @@ def test_mixture_meets_targets(spark, cap):
     if cap is None:
         assert all(abs(a - b) < 1e-3 * sum(wanted) for a, b in zip(rates.expected, wanted))
     else:
-        rate = rates.of(F.col("n_tokens"), F.col("posteriors"))
+        rate = rates.of(F.col("posteriors"))
         assert members.where(rate > 1.0).count() == 0
 
 
@@ -147,7 +147,7 @@ def test_capped_mixture_with_a_few_very_long_documents(spark, longs, size, share
 
     have = kept(F.lit(1.0))
     rates = mixing.fit_rates(members, [have[0], share * have[1]], cap=1.0, start=1.0)
-    rate = rates.of(F.col("n_tokens"), F.col("posteriors"))
+    rate = rates.of(F.col("posteriors"))
     got = kept(rate)
     assert abs(got[0] / have[0] - 1) < 1e-3 and abs(got[1] / have[1] - share) < 1e-3 and rates.reached
     assert members.where((rate < 0) | (rate > 1)).count() == 0
