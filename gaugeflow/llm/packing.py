@@ -92,19 +92,23 @@ class Encoder:
             return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         if len(self.place) > REMEMBERED or len(self.piece_ids) > REMEMBERED:
             self.forget()
-        place, long = self.place, False
-        chunks = [text.replace("\n", " ").split(" ") for text in texts]
-        for words in chunks:
-            for chunk in words:
-                if chunk not in place:
-                    self.ids.extend(self._of_chunk(chunk))
-                    place[chunk] = len(self.first) - 1
-                    self.first.append(len(self.ids))
-                    long |= len(chunk) > LONGEST
+        place, long, numbers = self.place, False, []
+        for text in texts:
+            chunks = text.replace("\n", " ").split(" ")
+            at = list(map(place.get, chunks))
+            if None in at:
+                for i, chunk in enumerate(chunks):
+                    if at[i] is None:
+                        if chunk not in place:
+                            self.ids.extend(self._of_chunk(chunk))
+                            place[chunk] = len(self.first) - 1
+                            self.first.append(len(self.ids))
+                            long |= len(chunk) > LONGEST
+                        at[i] = place[chunk]
+            numbers.append(np.array(at, np.int64))
         first, ids = np.array(self.first), np.array(self.ids)
         found = []
-        for words in chunks:
-            at = np.fromiter((place[c] for c in words), np.int64, len(words))
+        for at in numbers:
             begin, count = first[at], first[at + 1] - first[at]
             ends = np.cumsum(count)
             found.append(ids[np.repeat(begin - ends + count, count) + np.arange(ends[-1])])
