@@ -12,8 +12,9 @@ from gaugeflow.catalog.data import kept, stored_features, table
 from gaugeflow.catalog.registry import query, rounded
 from gaugeflow.catalog.twins import CLEANED, features_from, num
 from gaugeflow.functions.scalars import numeric_columns
-from gaugeflow.operators.forest import Forest, cross_validate, random_search
-from gaugeflow.operators.split import split_train_val_test, with_row_hash
+from gaugeflow.operators.forest import Forest
+from gaugeflow.operators.learners import Boosted, cross_validate, random_search
+from gaugeflow.operators.split import contiguous_folds, split_train_val_test, with_row_hash
 from gaugeflow.plans.batch_score import batch_score
 from gaugeflow.plans.train_run import model_report, train_run, train_val
 from gaugeflow.sources import logs, registry
@@ -111,16 +112,22 @@ def _errors_hold(tried):
                for r in tried)
 
 
-@query("random_search", "SELECT 2 AS n_settings, 2 AS n_distinct, true AS best_first, true AS errors_hold")
+@query("random_search", USED + f"""SELECT count(*) AS n_rows, {fv.SEARCH_DRAWS} AS n_settings, {fv.SEARCH_DRAWS} AS n_distinct,
+  true AS best_first, true AS errors_hold, true AS better_than_mean FROM used""")
 def _random_search(spark, folder):
-    """Two settings, as the SQL has it; the whole search is part of ``train_run``."""
-    rows = parts(spark, folder)
-    tried = random_search(Forest(), train_val(rows), features(rows), TARGET, "row_id", fv.SEARCH_GRID, 2, fv.FOLDS)
-    means = [r["mse_mean"] for r in tried]
-    return spark.range(1).select(
-        F.lit(len(tried)).alias("n_settings"), F.lit(len({tuple(r[k] for k in fv.SEARCH_GRID) for r in tried})).alias("n_distinct"),
-        F.lit(means == sorted(means)).alias("best_first"), F.lit(_errors_hold(tried)).alias("errors_hold"),
-    )
+    """The search of the training run: all draws from the whole grid. Rows are those of all folds and of the test part."""
+    result = run(spark, folder)
+    tried, means = result.search, [r["mse_mean"] for r in result.search]
+    rows = contiguous_folds(train_val(result.parts), "row_id", fv.FOLDS).groupBy("fold").count()
+    tested = result.parts.where(F.col("split") == "test").agg(F.count("*").alias("count"), F.lit(fv.FOLDS).alias("fold"))
+    variance = train_val(result.parts).agg(F.var_pop(TARGET)).first()[0]
+    return rows.unionByName(tested.withColumn("fold", F.col("fold").cast(rows.schema["fold"].dataType))).agg(
+        F.sum("count").alias("n_rows"),
+    ).withColumns({
+        "n_settings": F.lit(len(tried)), "n_distinct": F.lit(len({tuple(r[k] for k in fv.SEARCH_GRID) for r in tried})),
+        "best_first": F.lit(means == sorted(means)), "errors_hold": F.lit(_errors_hold(tried)),
+        "better_than_mean": F.lit(max(means) < variance),
+    })
 
 
 @query("cross_validate", "SELECT 1 AS n_settings, true AS errors_hold, true AS better_than_mean")
@@ -191,7 +198,22 @@ def _model_report(spark, folder):
 @query("train_run", PREDICTED)
 def _train_run(spark, folder):
     result = run(spark, folder)
-    return _predicted(result.forest, result.parts)
+    return _predicted(result.learner, result.parts)
+
+
+@query("boosted_run", PREDICTED)
+def _boosted_run(spark, folder):
+    """Another kind of model through the same run: search, validation, fit, saving, reloading and scoring."""
+    rows = with_row_hash(stored_features(spark, folder))
+    result = train_run(rows, TARGET, "row_id", new_path(spark, "models"), "indicator_boosted", "1.0", learner=Boosted,
+                       settings={"maxIter": 5, "maxDepth": 4}, grid={"maxDepth": [3, 4]}, draws=2, folds=2)
+    ends = result.parts.agg(F.min(TARGET), F.max(TARGET)).first()
+    low, high = ends[0] - (ends[1] - ends[0]), ends[1] + (ends[1] - ends[0])  # sums of trees may leave the range a little
+    scored = result.learner.predict(result.parts, keep=["row_id"])
+    return scored.agg(
+        F.count("*").alias("n_rows"), F.count_if(F.col("prediction").isNull()).alias("n_null"),
+        F.count_if(~F.col("prediction").between(low, high)).alias("n_outside"),
+    )
 
 
 SCORING_RULES = {
@@ -238,8 +260,8 @@ def _batch_score_counts(spark, folder):
 def _save_load_model(spark, folder):
     """Predictions of the saved and reloaded model, against those of the model in memory."""
     forest, base = trained(spark, folder), new_path(spark, "models")
-    registry.save_forest(forest, spark, base, "indicator_forest", "1.1")
-    again = registry.load_forest(spark, base, "indicator_forest", "1.1")
+    registry.save_regressor(forest, spark, base, "indicator_forest", "1.1")
+    again = registry.load_regressor(spark, base, "indicator_forest", "1.1")
     rows = stored_features(spark, folder)
     first = forest.predict(again.predict(rows, keep=forest.features).withColumnRenamed("prediction", "reloaded"), keep=["reloaded"])
     return rounded(first.agg(
@@ -251,7 +273,7 @@ FROM (VALUES ('1.0'), ('2_beta')) AS t(v)""")
 def _list_models(spark, folder):
     forest, base = trained(spark, folder), new_path(spark, "models")
     for version in ("1.0", "2_beta"):
-        registry.save_forest(forest, spark, base, "forest_vivid", version)
+        registry.save_regressor(forest, spark, base, "forest_vivid", version)
     return registry.list_models(spark, base).select("name", "version", "file", (F.col("size_mb") > 0).alias("has_size"))
 
 

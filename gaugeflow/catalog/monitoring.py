@@ -614,10 +614,12 @@ def _prediction_volume(spark, folder):
 def _model_metadata(spark, folder):
     row = table(spark, folder, "lineitem").agg(F.avg("l_extendedprice").alias("m"), F.count("*").alias("n")).first()
     base = new_path(spark, "registry")
+    publication = registry.new_publication(base, "price_mean", "2.0")
     registry.save_model_metadata(
-        spark, base, "price_mean", "2.0", "mean", ["l_quantity", "l_tax"], "l_extendedprice",
+        spark, publication, "price_mean", "2.0", "mean", ["l_quantity", "l_tax"], "l_extendedprice",
         {"mean_price": row["m"]}, {"n_rows": row["n"]},
     )
+    registry.publish(spark, publication)
     meta = registry.load_model_metadata(spark, base, "price_mean", "2.0")
     return rounded(meta.select(
         "model_name", "version", "model_type", F.concat_ws(",", "features").alias("features"), "feature_count", "target",

@@ -1,154 +1,170 @@
-"""Random-forest regression on Spark ML: fit, predict with intervals, search, cross-validation, importances."""
+"""Random-forest regression on Spark ML: leaf tables, intervals from one transform, nested evaluation of settings."""
 
 from __future__ import annotations
 
-import itertools
-import math
-import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gaugeflow import fixed_values as fv
 from gaugeflow.functions.scalars import quoted
-from gaugeflow.operators.checks import input_checks
-from gaugeflow.operators.lookups import missing_columns
-from gaugeflow.operators.ranking import last_n
-from gaugeflow.operators.split import contiguous_folds
+from gaugeflow.operators.learners import Regressor
+from gaugeflow.storage import new_path
+
+#: Leaves of a forest up to which their values travel with a task (8 bytes a leaf and depth).
+MOST_LEAVES = 1 << 22
+#: Settings of the fit that change its speed only: node statistics that a pass may hold, and node ids kept per row.
+FIT_SETTINGS = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
 
 
 @dataclass
-class Forest:
-    """A regressor with its settings, its feature names and, once fitted, its model."""
-
-    settings: Mapping[str, object] = field(default_factory=lambda: dict(fv.FOREST_SETTINGS))
-    features: list[str] = field(default_factory=list)
-    target: str = "label"
-    model: RandomForestRegressionModel | None = None
-
-    def estimator(self, **changes) -> RandomForestRegressor:
-        settings = {"seed": 42, **self.settings, **changes}
-        return RandomForestRegressor(featuresCol="features", labelCol="label", predictionCol="prediction", **settings)
-
-    def assembled(self, df: DataFrame, keep: Sequence[str] = (), with_label: bool = True) -> DataFrame:
-        """Feature vector, label and the columns to keep. Inputs get plain names, so any column name works."""
-        names = [f"__f{i}" for i in range(len(self.features))]
-        label = [quoted(self.target).cast("double").alias("label")] if with_label else []
-        inputs = df.select(*[quoted(c).alias(n) for c, n in zip(self.features, names)], *label,
-                           *[quoted(k) for k in keep])
-        vector = VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")
-        return vector.transform(inputs).drop(*names)
-
-    def fit(self, df: DataFrame, features: Sequence[str], target: str, weight: str | None = None,
-            check: bool = True) -> Forest:
-        self.features, self.target = list(features), target
-        if check:
-            input_checks(df.select(*[quoted(c) for c in [*features, target]]), target)
-        changes = {"weightCol": weight} if weight else {}
-        rows = self.assembled(df, keep=[weight] if weight else [])
-        self.model = self.estimator(**changes).fit(rows)
-        return self
-
-    def trained(self) -> RandomForestRegressionModel:
-        if self.model is None:
-            raise ValueError("Model has not been trained yet")
-        return self.model
-
-    def _checked(self, df: DataFrame) -> None:
-        self.trained()
-        absent = missing_columns(df, self.features)
-        if absent:
-            raise ValueError(f"Missing columns: {absent}")
-
-    def predict(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        self._checked(df)
-        return self.trained().transform(self.assembled(df, keep, with_label=False)).drop("features")
+class LeafTable:
+    """Values of all leaves of a forest, tree by tree in the order of Spark's leaf numbers, cut at several depths."""
+
+    first: np.ndarray  # place of each tree's first leaf
+    values: np.ndarray  # one row per depth
+
+    def votes(self, leaves: np.ndarray, depth: int = 0) -> np.ndarray:
+        """What each tree says, for rows of leaf numbers."""
+        return self.values[depth][leaves.astype(np.int64) + self.first[:leaves.shape[1]]]
+
+
+def leaf_table(spark: SparkSession, model: RandomForestRegressionModel, depths: Sequence[int] = (31,)) -> LeafTable:
+    """Leaf values read from the saved form of the model; a leaf below a depth has the value of its ancestor there.
+
+    The nodes of a tree are saved in pre-order, and leaves are numbered from left to right.
+    """
+    path = new_path(spark, "trees")
+    model.write().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select(
+        "treeID", "nodeData.id", "nodeData.prediction", "nodeData.leftChild", "nodeData.rightChild"
+    ).toArrow()  # the driver holds the model anyway
+    tree, number, value, left, right = (nodes.column(c).to_numpy() for c in nodes.column_names)
+    order = np.lexsort((number, tree))
+    tree, value, left, right = tree[order], value[order], left[order], right[order]
+    starts = np.searchsorted(tree, np.arange(tree.max() + 1))
+    cut = np.tile(value, (len(depths), 1))
+    level, depth = starts, 0
+    while len(level):
+        parents = level[left[level] >= 0]
+        below = [starts[tree[parents]] + side[parents] for side in (left, right)]
+        depth += 1
+        for k, most in enumerate(depths):
+            if depth > most:
+                for children in below:
+                    cut[k, children] = cut[k, parents]
+        level = np.concatenate(below)
+    leaves = np.flatnonzero(left < 0)
+    return LeafTable(np.searchsorted(tree[leaves], np.arange(tree.max() + 1)), cut[:, leaves])
+
+
+def _rows_of(lists: pa.Array) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(len(lists), -1) if len(lists) else np.zeros((0, 1))
+
+
+def mean_and_spread(table: LeafTable):
+    """Arrow function from leaf numbers to mean and population deviation over the trees."""
+    @F.arrow_udf("struct<mean double, spread double>")
+    def judged(leaves: pa.Array) -> pa.Array:
+        votes = table.votes(_rows_of(leaves))
+        return pa.StructArray.from_arrays([pa.array(votes.mean(1)), pa.array(votes.std(1))], ["mean", "spread"])
+
+    return judged
+
+
+def nested_squares(table: LeafTable, members: Sequence[tuple[int, int]]):
+    """Arrow function from leaf numbers and label to the squared errors of (number of trees, place of depth) members."""
+    @F.arrow_udf("array<double>")
+    def judged(leaves: pa.Array, label: pa.Array) -> pa.Array:
+        numbers, y = _rows_of(leaves), label.to_numpy(zero_copy_only=False)
+        sums = {d: np.cumsum(table.votes(numbers, d), 1) for d in {d for _, d in members}}
+        errors = np.stack([(sums[d][:, t - 1] / t - y) ** 2 for t, d in members], 1)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(y) + 1) * len(members), pa.int32()), pa.array(errors.ravel()))
+
+    return judged
+
+
+class Forest(Regressor):
+    estimator_class, model_class = RandomForestRegressor, RandomForestRegressionModel
+    default_settings = fv.FOREST_SETTINGS
+
+    def estimator(self):
+        return RandomForestRegressor(
+            featuresCol="features", labelCol="label", predictionCol="prediction", **{"seed": 42, **FIT_SETTINGS, **self.settings}
+        )
+
+    def leaves_of(self, rows: DataFrame) -> Column:
+        """Leaf numbers of all trees, from one transform."""
+        return vector_to_array(F.col("__leaves")), self.trained().copy().setLeafCol("__leaves").transform(rows)
 
     def predict_interval(self, df: DataFrame, keep: Sequence[str] = (), width: float = fv.INTERVAL_WIDTH) -> DataFrame:
-        """Mean and population deviation over the trees, and mean ± width · deviation."""
-        self._checked(df)
+        """Mean and population deviation over the trees, and mean ± width · deviation.
+
+        One transform names the leaf of each tree and a table of leaf values gives mean and spread. A forest with more
+        leaves than a task may hold is asked tree by tree instead, with the same result.
+        """
+        self.checked(df)
         rows = self.assembled(df, keep, with_label=False)
+        kept = [quoted(k) for k in keep]
+        if self.trained().totalNumNodes <= 2 * MOST_LEAVES:
+            leaves, scored = self.leaves_of(rows)
+            judge = mean_and_spread(leaf_table(df.sparkSession, self.trained()))
+            found = scored.select(*kept, judge(leaves).alias("__found")).select(
+                *kept, F.col("__found.mean").alias("prediction"), F.col("__found.spread").alias("prediction_std")
+            )
+        else:
+            found = self._tree_by_tree(rows, kept)
+        return found.withColumns({
+            "confidence_lower": F.col("prediction") - width * F.col("prediction_std"),
+            "confidence_upper": F.col("prediction") + width * F.col("prediction_std"),
+        })
+
+    def _tree_by_tree(self, rows: DataFrame, kept: Sequence[Column]) -> DataFrame:
         names = []
         for i, tree in enumerate(self.trained().trees):
             names.append(f"__tree{i}")
             rows = tree.setPredictionCol(names[-1]).transform(rows)
         n = float(len(names))
-        votes = F.array(*names)
         mean = F.aggregate("__votes", F.lit(0.0), lambda a, x: a + x, lambda a: a / n)
         spread = F.aggregate(
             "__votes", F.lit(0.0), lambda a, x: a + (x - F.col("prediction")) * (x - F.col("prediction")),
             lambda a: F.sqrt(a / n),
         )
-        return (
-            rows.select(*[quoted(k) for k in keep], votes.alias("__votes")).withColumn("prediction", mean)
-            .withColumn("prediction_std", spread).drop("__votes")
-            .withColumns({
-                "confidence_lower": F.col("prediction") - width * F.col("prediction_std"),
-                "confidence_upper": F.col("prediction") + width * F.col("prediction_std"),
-            })
-        )
-
-    def feature_importance(self, spark: SparkSession, top: int | None = None) -> DataFrame:
-        """Importance per feature, largest first; general names if their number does not fit."""
-        weights = self.trained().featureImportances.toArray().tolist()
-        names = self.features if len(self.features) == len(weights) else [f"feature_{i}" for i in range(len(weights))]
-        table = spark.createDataFrame(list(zip(names, weights)), "Feature string, Importance double")
-        order = [F.desc("Importance"), F.asc("Feature")]
-        return last_n(table, order, top) if top else table.orderBy(*order)
-
-
-def random_draws(grid: Mapping[str, Sequence], draws: int = fv.SEARCH_DRAWS, seed: int = 42) -> list[dict]:
-    """Distinct settings drawn from the grid."""
-    combos = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
-    return random.Random(seed).sample(combos, min(draws, len(combos)))
-
-
-def cross_validate(
-    forest: Forest, df: DataFrame, features: Sequence[str], target: str, row_id: str,
-    folds: int = fv.FOLDS, settings: Sequence[Mapping[str, object]] = ({},), parallelism: int = 2, seed: int = 42,
-) -> list[dict]:
-    """Squared error over hash-range folds for each of the given settings. Fits run as parallel Spark jobs."""
-    forest.features, forest.target = list(features), target
-    rows = forest.assembled(contiguous_folds(df, row_id, folds, seed), keep=["fold"])
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-    error = RegressionEvaluator(metricName="mse")
-
-    def fold_error(job: tuple[Mapping[str, object], int]) -> float:
-        setting, fold = job
-        model = forest.estimator(**setting).fit(rows.where(F.col("fold") != fold))
-        return error.evaluate(model.transform(rows.where(F.col("fold") == fold)))
-
-    jobs = [(s, k) for s in settings for k in range(folds)]
-    try:
-        with ThreadPool(parallelism) as pool:
-            errors = pool.map(inheritable_thread_target(df.sparkSession)(fold_error), jobs)
-    finally:
-        rows.unpersist()
-    report = []
-    for i, s in enumerate(settings):
-        own = errors[i * folds:(i + 1) * folds]
-        mean = sum(own) / folds
-        report.append({
-            **s, "mse_mean": mean, "mse_std": math.sqrt(sum((e - mean) ** 2 for e in own) / folds),
-            "mse_min": min(own), "mse_max": max(own), "rmse": math.sqrt(mean),
-        })
-    return report
-
-
-def random_search(
-    forest: Forest, df: DataFrame, features: Sequence[str], target: str, row_id: str,
-    grid: Mapping[str, Sequence] = fv.SEARCH_GRID, draws: int = fv.SEARCH_DRAWS, folds: int = fv.FOLDS,
-    seed: int = 42, parallelism: int = 2,
-) -> list[dict]:
-    """Try random settings by cross-validation, best first, and set the best on the forest."""
-    tried = cross_validate(forest, df, features, target, row_id, folds, random_draws(grid, draws, seed), parallelism, seed)
-    ranked = sorted(tried, key=lambda r: r["mse_mean"])
-    forest.settings = {**forest.settings, **{k: ranked[0][k] for k in grid}}
-    return ranked
+        return rows.select(*kept, F.array(*names).alias("__votes")).withColumn("prediction", mean).withColumn(
+            "prediction_std", spread
+        ).drop("__votes")
+
+    def families(self, settings: Sequence[Mapping[str, object]]) -> list[list[int]]:
+        """Settings that differ in the number of trees and in depth alone are one family."""
+        found: dict[tuple, list[int]] = {}
+        for i, s in enumerate(settings):
+            rest = tuple(sorted((k, repr(v)) for k, v in s.items() if k not in ("numTrees", "maxDepth")))
+            found.setdefault(rest, []).append(i)
+        return list(found.values())
+
+    def errors(self, rows: DataFrame, settings: Sequence[Mapping[str, object]], fold: int) -> list[float]:
+        """One fit for a family, with its most trees and its largest depth.
+
+        A smaller member is the first trees of the list, cut at its depth: trees are drawn independently of each other and
+        grow level by level, and a cut node predicts the mean of the rows that it held. So all errors come from one
+        scoring pass with the leaf table.
+        """
+        whole = [{**self.settings, **s} for s in settings]
+        trees, depths = [int(s["numTrees"]) for s in whole], [int(s["maxDepth"]) for s in whole]
+        largest = self.copy(**{**settings[0], "numTrees": max(trees), "maxDepth": max(depths)})
+        largest.model = largest.fit_rows(rows.where(F.col("fold") != fold))
+        held_out = rows.where(F.col("fold") == fold)
+        if largest.model.totalNumNodes > 2 * MOST_LEAVES:
+            return super().errors(rows, settings, fold)
+        each = sorted(set(depths))
+        table = leaf_table(rows.sparkSession, largest.model, each)
+        squares = nested_squares(table, [(t, each.index(d)) for t, d in zip(trees, depths)])
+        leaves, scored = largest.leaves_of(held_out)
+        found = scored.select(squares(leaves, F.col("label")).alias("e"))
+        return list(found.agg(*[F.avg(F.col("e")[i]) for i in range(len(settings))]).first())

@@ -1,4 +1,4 @@
-"""From engineered features to a saved, reloaded and evaluated forest."""
+"""From engineered features to a saved, reloaded and evaluated regressor of any kind."""
 
 from __future__ import annotations
 
@@ -10,17 +10,18 @@ from pyspark.sql import functions as F
 
 from gaugeflow import fixed_values as fv
 from gaugeflow.functions.scalars import numeric_columns
-from gaugeflow.operators.forest import Forest, cross_validate, random_search
+from gaugeflow.operators.forest import Forest
+from gaugeflow.operators.learners import Regressor, cross_validate, random_search
 from gaugeflow.operators.scoring import regression_metrics
 from gaugeflow.operators.lookups import split_overlap
 from gaugeflow.operators.split import leakage_report, split_balance, split_train_val_test
-from gaugeflow.sources.registry import load_forest, save_forest
+from gaugeflow.sources.registry import load_regressor, save_regressor
 from gaugeflow.storage import materialise
 
 
 @dataclass
 class TrainRun:
-    forest: Forest
+    learner: Regressor
     parts: DataFrame
     metrics: dict
     cv: dict | None = None
@@ -42,30 +43,31 @@ def train_run(
     df: DataFrame, target: str, row_id: str, folder: str, name: str, version: str,
     drop: Sequence[str] = tuple(fv.LEAKAGE_COLUMNS), settings: Mapping[str, object] | None = None,
     grid: Mapping[str, Sequence] | None = None, draws: int = fv.SEARCH_DRAWS, folds: int = fv.FOLDS,
-    validate: bool = True, seed: int = 42,
+    validate: bool = True, seed: int = 42, learner: type[Regressor] = Forest,
 ) -> TrainRun:
+    """Split, search, validate, fit, evaluate, save and reload a regressor of the class ``learner``."""
     leakage = [r.asDict() for r in leakage_report(df.drop(*drop, row_id), target).collect()]  # a few rows per column
     parts = materialise(split_train_val_test(df, target, row_id, drop, seed=seed), "split")
     balance = split_balance(parts, target).first().asDict()
     both = split_overlap(train_val(parts), parts.where(F.col("split") == "test"), row_id)
     balance["n_overlap"] = both.count()
     features = [c for c in numeric_columns(parts) if c not in (target, row_id)]
-    given = dict(settings or fv.FOREST_SETTINGS)
-    forest = Forest(settings=dict(given))
+    given = dict(settings or learner.default_settings)
+    model = learner(given)
     fit_rows = train_val(parts)
-    search = random_search(forest, fit_rows, features, target, row_id, grid, draws, folds, seed) if grid else []
-    cv = cross_validate(forest, fit_rows, features, target, row_id, folds, seed=seed)[0] if validate else None
-    forest.fit(fit_rows, features, target)
-    scored = forest.predict(parts.where(F.col("split") == "test"), keep=[target])
+    search = random_search(model, fit_rows, features, target, row_id, grid, draws, folds, seed) if grid else []
+    cv = cross_validate(model, fit_rows, features, target, row_id, folds, seed=seed)[0] if validate else None
+    model.fit(fit_rows, features, target)
+    scored = model.predict(parts.where(F.col("split") == "test"), keep=[target])
     metrics = regression_metrics(scored, "prediction", target, cv["rmse"] if cv else None).first().asDict()
     numbers = {k: float(v) for k, v in metrics.items() if isinstance(v, float)}
-    paths = save_forest(forest, df.sparkSession, folder, name, version, numbers)
-    reloaded = load_forest(df.sparkSession, folder, name, version)
-    if reloaded.features != forest.features:
+    paths = save_regressor(model, df.sparkSession, folder, name, version, numbers)
+    reloaded = load_regressor(df.sparkSession, folder, name, version)
+    if reloaded.features != model.features:
         raise RuntimeError("the reloaded model has other features than the saved one")
     dropped = [c for c in df.columns if c not in parts.columns]
     return TrainRun(
-        reloaded, parts, metrics, cv, search, paths, leakage, balance, dropped, dict(forest.settings), given
+        reloaded, parts, metrics, cv, search, paths, leakage, balance, dropped, dict(model.settings), given
     )
 
 
@@ -75,14 +77,14 @@ def model_report(run: TrainRun, top: int = 10) -> DataFrame:
     sizes = run.parts.groupBy().agg(*[
         F.count_if(F.col("split") == s).alias(f"n_{s}") for s in ("train", "val", "test")
     ])
-    heaviest = [f"{r['Feature']}={r['Importance']:.4f}" for r in run.forest.feature_importance(spark, top).collect()]
+    heaviest = [f"{r['Feature']}={r['Importance']:.4f}" for r in run.learner.feature_importance(spark, top).collect()]
     warnings = [" ".join(str(x) for x in (w["warning"], w["column"], w["value"]) if x is not None) for w in run.leakage]
     cv = run.cv or {}
     best = run.search[0] if run.search else {}
     return sizes.select(
-        F.lit(type(run.forest.trained()).__name__).alias("model_type"),
-        F.lit(run.forest.trained().getNumTrees).alias("n_trees"),
-        F.lit(len(run.forest.features)).alias("feature_count"),
+        F.lit(run.learner.type_name()).alias("model_type"),
+        F.lit(getattr(run.learner.trained(), "getNumTrees", None)).cast("int").alias("n_trees"),
+        F.lit(len(run.learner.features)).alias("feature_count"),
         "n_train", "n_val", "n_test",
         *[F.lit(run.metrics.get(k)).cast("double").alias(k) for k in ("mae", "mse", "rmse", "r2", "mape_pct", "within_pct")],
         *[F.lit(cv.get(k)).cast("double").alias(f"cv_{k}") for k in ("mse_mean", "mse_std", "mse_min", "mse_max")],

@@ -26,7 +26,7 @@ def shared_folder(spark: SparkSession) -> str:
     return _OWN_FOLDERS[app]
 
 
-def _located(spark: SparkSession, path: str):
+def located(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
 
@@ -34,7 +34,7 @@ def _located(spark: SparkSession, path: str):
 def new_path(spark: SparkSession, label: str) -> str:
     """A fresh path below a folder of this application that is removed when its process ends."""
     base = f"{shared_folder(spark)}/gaugeflow-{spark.sparkContext.applicationId}"
-    system, folder = _located(spark, base)
+    system, folder = located(spark, base)
     if not system.exists(folder):  # only an existing folder can be marked for removal
         system.mkdirs(folder)
         system.deleteOnExit(folder)
@@ -54,7 +54,7 @@ def free(df: DataFrame) -> None:
     """Delete the table behind a result of ``materialise`` as soon as nothing reads it any more."""
     path = getattr(df, "kept_at", None)
     if path:
-        system, hadoop_path = _located(df.sparkSession, path)
+        system, hadoop_path = located(df.sparkSession, path)
         system.delete(hadoop_path, True)
 
 
@@ -72,7 +72,7 @@ def spread(df: DataFrame, min_bytes: int = 4 << 20) -> DataFrame:
 
 def written_bytes(df: DataFrame) -> int:
     """Size of the table behind a result of ``materialise``."""
-    system, folder = _located(df.sparkSession, df.kept_at)
+    system, folder = located(df.sparkSession, df.kept_at)
     return system.getContentSummary(folder).getLength()
 
 

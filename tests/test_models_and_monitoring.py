@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from gaugeflow.operators import alerts, checks, drift, outliers, scoring, split
-from gaugeflow.operators.forest import Forest, cross_validate, random_draws
+from gaugeflow.operators.forest import Forest
+from gaugeflow.operators.learners import cross_validate, random_draws
 from gaugeflow.operators.profile import feature_stats
 from gaugeflow import fixed_values as fv
 from gaugeflow.catalog import models
@@ -92,7 +93,7 @@ def test_report_tells_what_the_search_found(spark, line, tmp_path):
 
 def test_train_run_saves_and_reloads(spark, line, tmp_path):
     run = train_run(line, "target", "id", str(tmp_path), "forest_vast", "1.0", settings=SMALL, folds=2)
-    assert run.metrics["r2"] > 0.8 and run.forest.features == ["f1", "f2"]
+    assert run.metrics["r2"] > 0.8 and run.learner.features == ["f1", "f2"]
     assert model_report(run).first()["feature_count"] == 2
     listed = registry.list_models(spark, str(tmp_path)).first()
     assert (listed["name"], listed["version"]) == ("forest_vast", "1.0")
