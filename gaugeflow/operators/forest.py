@@ -19,8 +19,8 @@ from gaugeflow.storage import new_path
 
 #: Leaves of a forest up to which their values travel with a task (8 bytes a leaf and depth).
 MOST_LEAVES = 1 << 22
-#: Settings of the fit that change its speed only: node statistics that a pass may hold, and node ids kept per row.
-FIT_SETTINGS = {"maxMemoryInMB": 1024, "cacheNodeIds": True}
+#: A setting that changes the speed of a fit only: the node of each row and tree is kept instead of found anew.
+FIT_SETTINGS = {"cacheNodeIds": True}
 
 
 @dataclass
@@ -99,8 +99,8 @@ class Forest(Regressor):
             featuresCol="features", labelCol="label", predictionCol="prediction", **{"seed": 42, **FIT_SETTINGS, **self.settings}
         )
 
-    def leaves_of(self, rows: DataFrame) -> Column:
-        """Leaf numbers of all trees, from one transform."""
+    def leaves_of(self, rows: DataFrame) -> tuple[Column, DataFrame]:
+        """Leaf numbers of all trees as a column, and the rows that have it, from one transform."""
         return vector_to_array(F.col("__leaves")), self.trained().copy().setLeafCol("__leaves").transform(rows)
 
     def predict_interval(self, df: DataFrame, keep: Sequence[str] = (), width: float = fv.INTERVAL_WIDTH) -> DataFrame:

@@ -23,6 +23,8 @@ from gaugeflow.operators.ranking import last_n
 from gaugeflow.operators.split import contiguous_folds
 from gaugeflow.storage import free, materialise
 
+#: Fits that run side by side. The driver grows the nodes of a forest, so one fit alone leaves most cores idle.
+PARALLEL_FITS = 4
 #: Regressor classes by the name that saved metadata holds.
 KINDS: dict[str, type[Regressor]] = {}
 
@@ -163,7 +165,7 @@ def random_draws(grid: Mapping[str, Sequence], draws: int = fv.SEARCH_DRAWS, see
 
 def cross_validate(
     learner: Regressor, df: DataFrame, features: Sequence[str], target: str, row_id: str,
-    folds: int = fv.FOLDS, settings: Sequence[Mapping[str, object]] = ({},), parallelism: int = 2, seed: int = 42,
+    folds: int = fv.FOLDS, settings: Sequence[Mapping[str, object]] = ({},), parallelism: int = PARALLEL_FITS, seed: int = 42,
 ) -> list[dict]:
     """Squared error over hash-range folds for each of the given settings. Fits run as parallel Spark jobs.
 
@@ -198,7 +200,7 @@ def cross_validate(
 def random_search(
     learner: Regressor, df: DataFrame, features: Sequence[str], target: str, row_id: str,
     grid: Mapping[str, Sequence] = fv.SEARCH_GRID, draws: int = fv.SEARCH_DRAWS, folds: int = fv.FOLDS,
-    seed: int = 42, parallelism: int = 2,
+    seed: int = 42, parallelism: int = PARALLEL_FITS,
 ) -> list[dict]:
     """Try random settings by cross-validation, best first, and set the best on the learner."""
     tried = cross_validate(learner, df, features, target, row_id, folds, random_draws(grid, draws, seed), parallelism, seed)
