@@ -43,7 +43,6 @@ def group_median_impute(
     value: str = fv.VALUE,
     group: str = fv.VALUE_TYPE,
     mode: str = "exact",
-    rows: int | None = None,
     gaps: int | None = None,
 ) -> DataFrame:
     """Fill nulls with the group median, then what is left with the median taken after that fill.
@@ -56,14 +55,14 @@ def group_median_impute(
     if not (null_counts(df, [value])[value] if gaps is None else gaps):
         return df
     if group in df.columns:
-        stats, small = quantiles(df, [value], [0.5], by=[group], mode=mode, rows=rows)
+        stats, small = quantiles(df, [value], [0.5], by=[group], mode=mode)
         name = "__group_median"
         df = replace_columns(
             _with_medians(df, stats, small, value, group, name), {value: F.coalesce(quoted(value), quoted(name))}
         ).drop(name)
         if stats.where(quoted(group).isNull() | quoted(value)[0].isNull()).isEmpty():
             return df
-    middle = quantile_values(df, [value], [0.5], mode, rows)[value]
+    middle = quantile_values(df, [value], [0.5], mode)[value]
     return replace_columns(df, {value: F.coalesce(quoted(value), F.lit(middle[0] if middle else None))})
 
 
@@ -72,7 +71,6 @@ def median_impute_all(
     skip: Sequence[str] = (fv.VALUE,),
     columns: Sequence[str] | None = None,
     mode: str = "exact",
-    rows: int | None = None,
     gaps: Mapping[str, int] | None = None,
 ) -> DataFrame:
     """Fill nulls of numeric columns with the column median and of text columns with ``unknown``."""
@@ -80,7 +78,7 @@ def median_impute_all(
     texts = [] if columns else [c for c in text_columns(df) if c not in skip]
     gaps = null_counts(df, numbers) if gaps is None else gaps
     numbers = [c for c in numbers if gaps[c]]
-    medians = quantile_values(df, numbers, [0.5], mode, rows)
+    medians = quantile_values(df, numbers, [0.5], mode)
     filled = {c: F.coalesce(quoted(c), F.lit(medians[c][0])) for c in numbers if medians[c]}
     filled |= {c: F.coalesce(quoted(c), F.lit(fv.NULL_TEXT)) for c in texts}
     return replace_columns(df, filled)

@@ -23,7 +23,6 @@ def iqr_caps(
     value: str = fv.VALUE,
     limits: Sequence[str] = (fv.LOW_LIMIT, fv.HIGH_LIMIT),
     mode: str = "exact",
-    rows: int | None = None,
 ) -> dict[str, tuple[float | None, float | None]]:
     """Caps of the columns that hold an outlier.
 
@@ -32,7 +31,7 @@ def iqr_caps(
     """
     cols = [c for c in (columns or numeric_columns(df)) if c not in fv.UNCAPPED_COLUMNS]
     caps = {}
-    for c, parts in quantile_values(df, cols, CAP_PROBS, mode, rows).items():
+    for c, parts in quantile_values(df, cols, CAP_PROBS, mode).items():
         if parts is None:
             continue
         lowest, p005, p01, q1, q3, p99, p995, highest = parts

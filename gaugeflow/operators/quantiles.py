@@ -1,29 +1,38 @@
-"""Quantiles of many columns, per group, exact at any size.
+"""Exact quantiles of many columns, per group, with one algorithm at every size.
 
-Spark's ``percentile`` holds one entry per distinct value of a group in a single task. That is fine for
-small tables. For larger ones the quantiles are searched instead: a bounded sketch brackets every wanted
-rank, the rows below and inside each bracket are counted exactly, and the bracket is narrowed until few
-distinct values are left in it; those are ranked. Every step is a partially aggregated job, so neither a
-hot group nor a hot value gathers rows in one task.
+1. One wide aggregate takes a KLL sketch of every column, its count and its ends. The sketch brackets each wanted rank by
+   two values.
+2. One wide aggregate counts, for each bracket, the rows below it, at its lower end and up to its upper end, and sketches
+   the values strictly inside. Brackets are narrowed until few values are left inside. Small tables skip this step.
+3. One wide aggregate counts the same and gathers the few values inside, among which the rank is looked up.
+
+Rows are never multiplied: a column is an expression of the aggregate, brackets are literals or, per group, columns of a
+joined table. Sketches merge, so each aggregate is partial before its shuffle and no task holds a column or a hot group.
+The ends of a bracket are counted apart, so a value shared by a third of all rows is an end, never a crowd inside.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from gaugeflow.functions.scalars import quoted
 from gaugeflow.storage import materialise, pin_small
 
-# Values of all columns together up to which hash maps per column and group are accepted, and distinct values
-# left to rank at the end.
-DIRECT_VALUES = 8_000_000
-BRACKET_VALUES = 1_000_000
-SKETCH_POINTS = 2_000
-SKETCH_ACCURACY = 20_000
+#: Size of the sketches, for whole tables and per group, and their rank error at 99 % confidence.
+SKETCH, GROUP_SKETCH = 4096, 1024
+#: Values strictly inside a bracket that may be gathered.
+INSIDE_VALUES = 4096
+#: Steps of the grid that reads a sketch of inner values.
+GRID = 1000
+APPROX_ACCURACY = 20_000
+
+
+def rank_error(size: int) -> float:
+    return 2.3 / size**0.9
 
 
 def quantiles(
@@ -32,188 +41,199 @@ def quantiles(
     probs: Sequence[float],
     by: Sequence[str] = (),
     mode: str = "exact",
-    rows: int | None = None,
-    direct_values: int | None = None,
-    bracket_values: int = BRACKET_VALUES,
+    inside_values: int = INSIDE_VALUES,
+    sketch: int | None = None,
 ) -> tuple[DataFrame, bool]:
     """One row per group with ``columns`` holding arrays of the quantiles at ``probs`` (null if no value).
 
-    ``rows`` is an upper bound of the row count where the caller knows one; otherwise rows are counted.
-    ``mode="approx"`` takes one pass with a bounded error. The second result tells whether the table was
-    checked to be small enough to broadcast.
+    Ranks are interpolated linearly between the two neighbours. Nulls and NaN are no values. ``mode="approx"`` takes one
+    pass with a bounded error. The second result tells whether the table was checked to be small enough to broadcast.
     """
     if mode == "approx":
         aggs = [
-            F.percentile_approx(quoted(c).cast("double"), list(probs), SKETCH_ACCURACY).alias(c)
-            for c in columns
+            F.percentile_approx(quoted(c).cast("double"), list(probs), APPROX_ACCURACY).alias(c) for c in columns
         ]
         return pin_small(df.groupBy(*[quoted(b) for b in by]).agg(*aggs))
-    values = (df.count() if rows is None else rows) * len(columns)
-    if values <= (DIRECT_VALUES if direct_values is None else direct_values):
-        return pin_small(_direct_quantiles(df, columns, probs, by))
-    return pin_small(searched_quantiles(df, columns, probs, by, bracket_values))
-
-
-def _long_form(df: DataFrame, columns: Sequence[str], by: Sequence[str]) -> tuple[DataFrame, list[str]]:
-    """Narrow rows of keys, column number and value. Equal zeros must meet, so -0.0 becomes 0.0."""
     keys = [f"k{i}" for i in range(len(by))]
-    cells = F.array(*[
-        F.struct(F.lit(i).alias("f"), (quoted(c).cast("double") + F.lit(0.0)).alias("v")) for i, c in enumerate(columns)
+    values = df.select(*[quoted(b).alias(k) for b, k in zip(by, keys)], *[
+        F.nanvl(quoted(c).cast("double") + F.lit(0.0), F.lit(None)).alias(f"v{i}") for i, c in enumerate(columns)  # -0.0 is 0.0
     ])
-    return df.select(*[quoted(b).alias(k) for b, k in zip(by, keys)], F.inline(cells)), keys
-
-
-def _direct_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str]) -> DataFrame:
-    """One ``percentile`` per group and column; the columns are merged by separate tasks."""
-    long, keys = _long_form(df, columns, by)
-    found = long.groupBy(*keys, "f").agg(F.percentile("v", list(probs)).alias("q"))
-    wide = found.groupBy(*keys).agg(*[F.max(F.when(F.col("f") == i, F.col("q"))).alias(f"q{i}") for i in range(len(columns))])
-    return wide.select(
+    search = _Search(values, keys, len(columns), probs, inside_values, sketch or (GROUP_SKETCH if by else SKETCH))
+    found = search.run()
+    return pin_small(found.select(
         *[F.col(k).alias(b) for k, b in zip(keys, by)], *[F.col(f"q{i}").alias(c) for i, c in enumerate(columns)]
-    )
+    ))
 
 
 def quantile_values(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], mode: str = "exact", rows: int | None = None
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], mode: str = "exact"
 ) -> dict[str, list[float] | None]:
     """Ungrouped quantiles as plain numbers: a result of fixed size, used as literals in projections."""
     if not columns:
         return {}
-    table, _ = quantiles(df, columns, probs, mode=mode, rows=rows)
-    row = table.first()
+    row = quantiles(df, columns, probs, mode=mode)[0].first()
     return {c: row[c] for c in columns}
 
 
-def searched_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    by: Sequence[str] = (),
-    bracket_values: int = BRACKET_VALUES,
-    sketch_points: int = SKETCH_POINTS,
-) -> DataFrame:
-    long, keys = _long_form(df, columns, by)
-    long = long.where(F.col("v").isNotNull())
-    ids = [*keys, "f", "p"]
-    spots = F.array(*[F.struct(F.lit(i).alias("p"), F.lit(float(q)).alias("q")) for i, q in enumerate(probs)])
-    grid = [i / sketch_points for i in range(sketch_points + 1)]
-    # The first sketch covers the whole column, so one serves all wanted quantiles.
-    ranges = long.groupBy(*keys, "f").agg(
-        F.count("*").alias("within"), F.min("v").alias("low"), F.max("v").alias("high"),
-        F.percentile_approx("v", grid, SKETCH_ACCURACY).alias("grid"),
-    )
-    whole = materialise(ranges, "quantile-ranges").select("*", F.inline(spots)).select(
-        *ids, (F.col("q") * (F.col("within") - 1)).alias("rank"), "low", "high",
-        F.col("low").alias("outer_low"), F.col("high").alias("outer_high"), F.lit(2).alias("margin"),
-        F.lit(0).cast("bigint").alias("below"), F.lit(0).cast("bigint").alias("at_low"),
-        F.col("within").alias("inner"), F.lit(bracket_values + 1).cast("bigint").alias("distinct"), "grid",
-        F.lit(True).alias("holds"),
-    )
-    wide = _narrowed(whole, ids, bracket_values, sketch_points)
-    while True:
-        counted = materialise(_count_brackets(long, wide, ids, sketch_points), "quantile-brackets")
-        # A bracket that did not shrink cannot shrink further; ranking it as it is stays exact.
-        shrinks = (F.col("margin") > 2) | (F.col("low") > F.col("outer_low")) | (F.col("high") < F.col("outer_high"))
-        still_open = counted.where(~F.col("holds") | ((F.col("distinct") > bracket_values) & shrinks))
-        # A margin beyond the sketch opens the whole outer range again, so a rank is always found.
-        if still_open.isEmpty():
-            break
-        wide = _narrowed(counted, ids, bracket_values, sketch_points)
-    ranked = _rank_inside(long, counted, ids)
-    return _as_arrays(ranked, df, columns, probs, by, keys)
-
-
-def _same_keys(left: DataFrame, right: DataFrame, names: Sequence[str]):
-    condition = F.lit(True)
-    for name in names:
-        condition = condition & left[f"`{name}`"].eqNullSafe(right[f"`{name}`"])
-    return condition
-
-
-def _inside(long: DataFrame, brackets: DataFrame, ids: Sequence[str]) -> DataFrame:
-    shared, small = pin_small(brackets, "quantile-brackets")
-    keys = [c for c in ids if c != "p"]
-    side = F.broadcast(shared) if small else shared
-    joined = long.join(side, _same_keys(long, shared, keys), "inner")
-    return joined.select(*[shared[c] for c in shared.columns], long["v"])
-
-
-def _count_brackets(long: DataFrame, brackets: DataFrame, ids: Sequence[str], points: int) -> DataFrame:
-    """Exact rank range of every bracket, and a sketch of the values strictly between its ends.
-
-    The ends are counted apart, so a value shared by very many rows cannot keep a bracket from narrowing.
-    """
-    v = F.col("v")
-    between = F.when((v > F.col("low")) & (v < F.col("high")), v)
-    grid = [i / points for i in range(points + 1)]
-    counted = _inside(long, brackets, ids).groupBy(*ids).agg(
-        *[F.first(c).alias(c) for c in ("rank", "low", "high", "outer_low", "outer_high", "margin")],
-        F.count_if(v < F.col("low")).alias("below"),
-        F.count_if(v == F.col("low")).alias("at_low"),
-        F.count_if((v >= F.col("low")) & (v <= F.col("high"))).alias("within"),
-        F.count(between).alias("inner"),
-        F.approx_count_distinct(between).alias("distinct"),
-        F.percentile_approx(between, grid, SKETCH_ACCURACY).alias("grid"),
-    )
-    holds = (F.col("below") <= F.floor("rank")) & (F.ceil("rank") < F.col("below") + F.col("within"))
-    return counted.withColumn("holds", holds)
-
-
-def _narrowed(counted: DataFrame, ids: Sequence[str], bracket_values: int, points: int) -> DataFrame:
-    """Next brackets: closer around the rank, or one step back with more margin if the rank was missed."""
-    cell = (F.col("rank") - F.col("below") - F.col("at_low")) / F.greatest(F.col("inner") - 1, F.lit(1)) * points
-    first = F.least(F.floor(cell) - F.col("margin"), F.lit(points)).cast("int")
-    last = F.greatest(F.ceil(cell) + F.col("margin"), F.lit(0)).cast("int")
-    low = F.when(first <= 0, F.col("low")).otherwise(F.element_at("grid", F.greatest(first, F.lit(0)) + 1))
-    high = F.when(last >= points, F.col("high")).otherwise(
-        F.element_at("grid", F.least(last, F.lit(points)) + 1)
-    )
-    settled = F.col("distinct") <= bracket_values
-    return counted.select(
-        *ids, "rank",
-        F.when(~F.col("holds"), F.col("outer_low")).when(settled, F.col("low")).otherwise(low).alias("low"),
-        F.when(~F.col("holds"), F.col("outer_high")).when(settled, F.col("high")).otherwise(high).alias("high"),
-        F.when(F.col("holds"), F.col("low")).otherwise(F.col("outer_low")).alias("outer_low"),
-        F.when(F.col("holds"), F.col("high")).otherwise(F.col("outer_high")).alias("outer_high"),
-        F.when(F.col("holds"), F.col("margin")).otherwise(F.col("margin") * 8).alias("margin"),
-    )
-
-
-def _rank_inside(long: DataFrame, counted: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Rank the few distinct values of each bracket and interpolate between the two neighbours."""
-    brackets = counted.select(*ids, "rank", "low", "high", "below")
-    inside = _inside(long, brackets, ids).where(F.col("v").between(F.col("low"), F.col("high")))
-    per_value = inside.groupBy(*ids, "rank", "below", "v").agg(F.count("*").alias("n"))
-    upto = Window.partitionBy(*ids).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    last = F.col("below") + F.sum("n").over(upto) - 1
-    picked = per_value.withColumn("last", last).groupBy(*ids).agg(
-        F.first("rank").alias("rank"),
-        F.min(F.when(F.col("last") >= F.floor("rank"), F.col("v"))).alias("left"),
-        F.min(F.when(F.col("last") >= F.ceil("rank"), F.col("v"))).alias("right"),
-    )
-    share = F.col("rank") - F.floor("rank")
-    # Equal neighbours are returned as they are, so infinities do not turn into NaN.
-    value = F.when(F.col("left") == F.col("right"), F.col("left")).otherwise(
-        F.col("left") * (1 - share) + F.col("right") * share
-    )
-    return picked.select(*ids, value.alias("v"))
-
-
-def _as_arrays(ranked, df, columns, probs, by, keys) -> DataFrame:
-    def at(f: int, p: int):
-        return F.max(F.when((F.col("f") == f) & (F.col("p") == p), F.col("v")))
-
-    parts = [at(f, p).alias(f"q{f}_{p}") for f in range(len(columns)) for p in range(len(probs))]
-    wide = ranked.groupBy(*keys).agg(*parts)
-    arrays = [
-        F.when(F.col(f"q{f}_0").isNotNull(), F.array(*[F.col(f"q{f}_{p}") for p in range(len(probs))])).alias(c)
-        for f, c in enumerate(columns)
-    ]
-    found = wide.select(*[F.col(k).alias(b) for k, b in zip(keys, by)], *arrays)
-    if not by:
-        return found
-    # Groups without any value keep a row of nulls, as in the direct form.
-    groups = df.select(*[quoted(b) for b in by]).distinct()
-    return groups.join(found, _same_keys(groups, found, by), "left").select(
-        *[groups[f"`{b}`"] for b in by], *[found[f"`{c}`"] for c in columns]
-    )
+class _Search:
+    """Brackets of every column and probability: a table with one row per group and columns ``l{i}_{j}``, ``h{i}_{j}``."""
+
+    def __init__(self, values: DataFrame, keys: list[str], columns: int, probs: Sequence[float], limit: int, size: int):
+        self.values, self.keys, self.limit, self.size = values, keys, limit, size
+        self.columns, self.probs = range(columns), list(probs)
+        self.inner = [j for j, p in enumerate(probs) if 0.0 < p < 1.0]  # the ends need no search
+        self.spots = [(i, j) for i in self.columns for j in self.inner]
+        self.error = 2 * rank_error(size)
+
+    def rank(self, i: int, j: int) -> Column:
+        return (F.col(f"n{i}") - 1) * F.lit(float(self.probs[j]))
+
+    def started(self) -> DataFrame:
+        aggs = [
+            agg.alias(f"{name}{i}") for i in self.columns for name, agg in (
+                ("n", F.count(f"v{i}")), ("a", F.min(f"v{i}")), ("z", F.max(f"v{i}")),
+                *((("s", F.kll_sketch_agg_double(f"v{i}", F.lit(self.size))),) if self.inner else ()),
+            )
+        ]
+        wide = self.values.groupBy(*self.keys).agg(*aggs)
+        kept = [*self.keys, *[f"{x}{i}" for i in self.columns for x in "naz"]]
+        if not self.inner:
+            return materialise(wide.select(*kept), "quantile-brackets")
+        ranks = [max(0.0, self.probs[j] - self.error) for j in self.inner]
+        ranks += [min(1.0, self.probs[j] + self.error) for j in self.inner]
+        read = wide.select(*kept, *[
+            F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.array(*map(F.lit, ranks)))).alias(f"e{i}")
+            for i in self.columns
+        ])
+        ends = []
+        for i in self.columns:
+            for at, j in enumerate(self.inner):
+                low, high = F.col(f"e{i}")[at], F.col(f"e{i}")[len(self.inner) + at]
+                few = F.col(f"n{i}") * self.error < 1  # a rank next to an end
+                ends += [F.when(few | F.lit(ranks[at] <= 0), F.col(f"a{i}")).otherwise(low).alias(f"l{i}_{j}"),
+                         F.when(few | F.lit(ranks[len(self.inner) + at] >= 1), F.col(f"z{i}")).otherwise(high).alias(f"h{i}_{j}")]
+        return materialise(read.select(*kept, *ends), "quantile-brackets")
+
+    def measured(self, brackets: DataFrame, gather: bool) -> DataFrame:
+        """Brackets with the rows below each (b), at its lower end (t), strictly inside (w) and up to its upper end (u).
+
+        And the inner values: all of a column together if they are gathered (x), else one sketch (s) per bracket.
+        """
+        ends = [f"{x}{i}_{j}" for i, j in self.spots for x in "lh"]
+        if self.keys:
+            kept, small = pin_small(brackets.select(*self.keys, *ends), "quantile-brackets")
+            side = kept.toDF(*[f"o_{k}" for k in self.keys], *ends)
+            same = F.lit(True)
+            for k in self.keys:
+                same = same & F.col(k).eqNullSafe(F.col(f"o_{k}"))
+            rows, end = self.values.join(F.broadcast(side) if small else side, same), F.col
+        else:
+            numbers = brackets.select(*ends).first()
+            rows, end = self.values, lambda name: F.lit(numbers[name]).cast("double")
+        aggs = []
+        for i in self.columns:
+            v, any_inside = F.col(f"v{i}"), F.lit(False)
+            for j in self.inner:
+                low, high = end(f"l{i}_{j}"), end(f"h{i}_{j}")
+                inside = (v > low) & (v < high)
+                any_inside = any_inside | inside
+                aggs += [F.count_if(v < low).alias(f"b{i}_{j}"), F.count_if(v == low).alias(f"t{i}_{j}"),
+                         F.count_if(inside).alias(f"w{i}_{j}"), F.count_if(v <= high).alias(f"u{i}_{j}")]
+                if not gather:
+                    aggs.append(F.kll_sketch_agg_double(F.when(inside, v), F.lit(self.size)).alias(f"s{i}_{j}"))
+            if gather:
+                aggs.append(F.collect_list(F.when(any_inside, v)).alias(f"x{i}"))
+        found = rows.groupBy(*self.keys).agg(*aggs)
+        if not self.keys:
+            one = brackets.first().asDict()
+            return found.select("*", *[F.lit(one[c]).cast(brackets.schema[c].dataType).alias(c) for c in brackets.columns])
+        again = brackets.toDF(*[f"o_{c}" if c in self.keys else c for c in brackets.columns])
+        same = F.lit(True)
+        for k in self.keys:
+            same = same & F.col(k).eqNullSafe(F.col(f"o_{k}"))
+        return found.join(again, same).drop(*[f"o_{k}" for k in self.keys])
+
+    def holds(self, i: int, j: int) -> Column:
+        """True where both neighbours of the rank are known to lie within the bracket."""
+        rank = self.rank(i, j)
+        inside = (F.col(f"b{i}_{j}") <= F.floor(rank)) & (F.ceil(rank) < F.col(f"u{i}_{j}"))
+        return (F.col(f"n{i}") == 0) | inside
+
+    def narrowed(self, measured: DataFrame, error: float) -> DataFrame:
+        grid = F.array(*[F.lit(g / GRID) for g in range(GRID + 1)])
+        ends = []
+        for i, j in self.spots:
+            rank, inner = self.rank(i, j), F.col(f"w{i}_{j}")
+            before = F.col(f"b{i}_{j}") + F.col(f"t{i}_{j}")
+            first = F.floor(((F.floor(rank) - before) / inner - error) * GRID).cast("int")
+            last = F.ceil(((F.ceil(rank) - before + 1) / inner + error) * GRID).cast("int")
+            read = F.kll_sketch_get_quantile_double(f"s{i}_{j}", grid)
+            wide = inner > self.limit
+            low, high = F.col(f"l{i}_{j}"), F.col(f"h{i}_{j}")
+            ends += [
+                F.when(~self.holds(i, j), F.col(f"a{i}")).when(wide & (first > 0), read[F.least(first, F.lit(GRID))])
+                .otherwise(low).alias(f"l{i}_{j}"),
+                F.when(~self.holds(i, j), F.col(f"z{i}")).when(wide & (last < GRID), read[F.greatest(last, F.lit(0))])
+                .otherwise(high).alias(f"h{i}_{j}"),
+            ]
+        kept = [*self.keys, *[f"{x}{i}" for i in self.columns for x in "naz"]]
+        return materialise(measured.select(*kept, *ends), "quantile-brackets")
+
+    def run(self) -> DataFrame:
+        brackets = self.started()
+        if not self.spots:
+            return self.looked_up(brackets)
+        most = brackets.agg(F.max(F.greatest(F.lit(0), *[F.col(f"n{i}") for i in self.columns]))).first()[0] or 0
+        crowd, error = 2 * self.error * most, self.error  # rows that may lie inside a bracket
+        before = math.inf
+        while True:
+            if crowd <= self.limit:
+                measured = materialise(self.measured(brackets, True), "quantiles")
+                if not measured.where(~self.all_of(self.holds)).limit(1).count():
+                    return self.looked_up(measured)
+                error *= 2
+            measured = materialise(self.measured(brackets, False), "quantile-counts")
+            held = measured.agg(
+                F.max(F.greatest(F.lit(0), *[F.col(f"w{i}_{j}") for i, j in self.spots])),
+                F.count_if(~self.all_of(self.holds)),
+            ).first()
+            crowd = held[0] or 0
+            if not held[1] and crowd >= before:  # as narrow as the sketches can make it
+                self.limit = max(self.limit, crowd)
+            before = math.inf if held[1] else crowd
+            if held[1]:  # a sketch that was off: once more with more room
+                error, crowd = error * 2, self.limit + 1
+            if crowd > self.limit:
+                brackets = self.narrowed(measured, error)
+                crowd = 0 if not held[1] and crowd * (2 * error + 3 / GRID) <= self.limit / 2 else self.limit + 1
+
+    def all_of(self, test) -> Column:
+        whole = F.lit(True)
+        for i, j in self.spots:
+            whole = whole & test(i, j)
+        return whole
+
+    def looked_up(self, measured: DataFrame) -> DataFrame:
+        """Arrays of quantiles: the ends of a bracket, or the inner value at the rank."""
+        def value_at(i: int, j: int, rank: Column) -> Column:
+            low, high, before = F.col(f"l{i}_{j}"), F.col(f"h{i}_{j}"), F.col(f"b{i}_{j}") + F.col(f"t{i}_{j}")
+            inner = F.array_sort(F.filter(f"x{i}", lambda x: (x > low) & (x < high)))
+            return F.when(rank < before, low).when(rank >= before + F.col(f"w{i}_{j}"), high).otherwise(
+                F.try_element_at(inner, (rank - before + 1).cast("int"))
+            )
+
+        columns = []
+        for i in self.columns:
+            parts = []
+            for j, p in enumerate(self.probs):
+                if j not in self.inner:
+                    parts.append(F.col(f"a{i}" if p <= 0 else f"z{i}"))
+                    continue
+                rank = self.rank(i, j)
+                left, right = value_at(i, j, F.floor(rank)), value_at(i, j, F.ceil(rank))
+                # Equal neighbours are returned as they are, so infinities do not turn into NaN.
+                parts.append(F.when((F.floor(rank) == F.ceil(rank)) | (left == right), left).otherwise(
+                    (F.ceil(rank) - rank) * left + (rank - F.floor(rank)) * right
+                ))
+            columns.append(F.when(F.col(f"n{i}") > 0, F.array(*parts)).alias(f"q{i}"))
+        return measured.select(*self.keys, *columns)

@@ -21,27 +21,26 @@ from gaugeflow.storage import materialise
 
 
 def extreme_flag(
-    df: DataFrame, column: str = fv.VALUE, prob: float = 0.99, mode: str = "exact", rows: int | None = None
+    df: DataFrame, column: str = fv.VALUE, prob: float = 0.99, mode: str = "exact"
 ) -> DataFrame:
     """1 for values above the percentile of their own column."""
     if column not in df.columns:
         return df
-    limit = quantile_values(df, [column], [prob], mode, rows)[column]
+    limit = quantile_values(df, [column], [prob], mode)[column]
     return flag_above(df, column, limit[0] if limit else None, f"{column}_Extreme_Flag")
 
 
 def clean_data(df: DataFrame, mode: str = "exact") -> DataFrame:
     df = normalise_strings(strip_column_names(df))
     df = materialise(coerce_numeric(df, [fv.VALUE, *fv.COERCED_COLUMNS]), "coerced")
-    rows = df.count()
     gaps = null_counts(df, numeric_columns(df))
     if fv.VALUE_TYPE in df.columns:
-        df = group_median_impute(df, mode=mode, rows=rows, gaps=gaps.get(fv.VALUE, 0))
-    df = median_impute_all(df, mode=mode, rows=rows, gaps=gaps)
-    df = iqr_cap(df, mode=mode, rows=rows)
+        df = group_median_impute(df, mode=mode, gaps=gaps.get(fv.VALUE, 0))
+    df = median_impute_all(df, mode=mode, gaps=gaps)
+    df = iqr_cap(df, mode=mode)
     df = materialise(dedupe_full_row(df), "deduplicated")
     df = clip_range(df)
-    df = extreme_flag(df, mode=mode, rows=rows)
+    df = extreme_flag(df, mode=mode)
     df = ci_missing_flag(df)
     # Only a value column without a type column can still have gaps here.
-    return median_impute_all(df, skip=(), columns=[fv.VALUE, *fv.COERCED_COLUMNS], mode=mode, rows=rows)
+    return median_impute_all(df, skip=(), columns=[fv.VALUE, *fv.COERCED_COLUMNS], mode=mode)

@@ -6,10 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from gaugeflow.operators.quantiles import quantile_values, quantiles, searched_quantiles
+from gaugeflow.operators.quantiles import quantile_values, quantiles
 
 PROBS = [0.0, 0.005, 0.25, 1 / 3, 0.5, 0.66, 0.99, 1.0]
 
@@ -18,8 +19,9 @@ def brute(values, probs=PROBS):
     return [float(np.quantile(values, p)) for p in probs]
 
 
+@pytest.mark.parametrize("limit", [30, 4096])
 @pytest.mark.parametrize("shape", ["uniform", "heavy", "hot", "two", "negative"])
-def test_search_equals_numpy(spark, shape):
+def test_search_equals_numpy(spark, shape, limit):
     rng = random.Random(7)
     make = {
         "uniform": lambda: rng.uniform(0, 1000),
@@ -30,7 +32,7 @@ def test_search_equals_numpy(spark, shape):
     }[shape]
     values = [make() for _ in range(5000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
-    found = searched_quantiles(df, ["v"], PROBS, bracket_values=3, sketch_points=20).first()["v"]
+    found = quantiles(df, ["v"], PROBS, inside_values=limit, sketch=200)[0].first()["v"]
     assert found == pytest.approx(brute(values), rel=1e-12)
 
 
@@ -42,10 +44,11 @@ def test_search_by_group_with_nulls_and_hot_group(spark):
         rows.append((group, None if i % 11 == 0 else rng.gauss(0, 10), float(i % 4)))
     rows += [("empty", None, None)] * 5
     df = spark.createDataFrame(rows, "g string, a double, b double")
-    direct = {r["g"]: r for r in quantiles(df, ["a", "b"], PROBS, by=["g"])[0].collect()}
+    direct = {r["g"]: r for r in df.groupBy("g").agg(*[F.percentile(c, PROBS).alias(c) for c in ("a", "b")]).collect()}
+    assert {r["g"]: r for r in quantiles(df, ["a", "b"], PROBS, by=["g"])[0].collect()}.keys() == direct.keys()
     searched = {
         r["g"]: r
-        for r in quantiles(df, ["a", "b"], PROBS, by=["g"], direct_values=0, bracket_values=4)[0].collect()
+        for r in quantiles(df, ["a", "b"], PROBS, by=["g"], inside_values=20, sketch=200)[0].collect()
     }
     assert direct.keys() == searched.keys()
     for g, row in direct.items():
@@ -61,7 +64,7 @@ def test_search_by_group_with_nulls_and_hot_group(spark):
 @given(st.lists(st.floats(-1e9, 1e9, allow_nan=False, width=32), min_size=1, max_size=60))
 def test_search_on_any_list(spark, values):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
-    found = searched_quantiles(df, ["v"], [0.1, 0.5, 0.9], bracket_values=2, sketch_points=4).first()["v"]
+    found = quantiles(df, ["v"], [0.1, 0.5, 0.9], inside_values=2, sketch=200)[0].first()["v"]
     assert found == pytest.approx(brute(values, [0.1, 0.5, 0.9]), rel=1e-9, abs=1e-9)
 
 
@@ -73,3 +76,27 @@ def test_all_null_column_has_no_quantile(spark):
 def test_approximate_mode_is_close(spark):
     df = spark.range(10001).selectExpr("cast(id as double) as v")
     assert quantile_values(df, ["v"], [0.5], mode="approx")["v"][0] == pytest.approx(5000, abs=5)
+
+
+def test_infinities_and_nan(spark):
+    values = [float("-inf"), 1.0, 2.0, float("inf"), float("inf")]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "v double")
+    assert quantile_values(df, ["v"], [0.0, 0.25, 0.75, 1.0])["v"] == [float("-inf"), 1.0, float("inf"), float("inf")]
+
+
+def test_no_row_is_multiplied_and_three_scans_do(spark, monkeypatch, tmp_path):
+    """A million rows of five columns: every aggregate is wide, and the table is read twice or three times."""
+    from gaugeflow.operators import quantiles as module
+
+    path = str(tmp_path / "t")
+    spark.range(1_000_000).selectExpr(*[f"double((id * {7919 + 2 * i}) % 1000003) AS c{i}" for i in range(5)]).write.parquet(path)
+    df = spark.read.parquet(path)
+    plans = []
+    keep = module.materialise
+    monkeypatch.setattr(module, "materialise", lambda d, label: plans.append(d._jdf.queryExecution().optimizedPlan().toString()) or keep(d, label))
+    found = quantile_values(df, list(df.columns), [0.01, 0.5, 0.99])
+    scans = sum(p.count("Relation [c0") for p in plans)
+    assert scans <= 3 and not any("Generate" in p for p in plans)
+    for i, row in found.items():
+        values = np.array([r[0] for r in df.select(i).collect()])
+        assert row == pytest.approx(brute(values, [0.01, 0.5, 0.99]), rel=1e-12)
