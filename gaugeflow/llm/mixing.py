@@ -10,6 +10,7 @@ import math
 import warnings
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -161,15 +162,13 @@ class Rates:
     def reached(self) -> bool:
         return self.off <= TOLERANCE
 
+    def stepped(self, rate: Column, posteriors: Column, step: Sequence[float]) -> Column:
+        moved = rate - sum((posteriors[i] * float(x) for i, x in enumerate(step)), F.lit(0.0))
+        return F.greatest(F.lit(0.0), moved if self.cap is None else F.least(F.lit(float(self.cap)), moved))
+
     def of(self, posteriors: Column) -> Column:
         """The rate of a row, by replaying the steps."""
-        def stepped(rate: Column, step: Column) -> Column:
-            moved = rate - F.aggregate(F.zip_with(posteriors, step, lambda p, s: p * s), F.lit(0.0), lambda a, x: a + x)
-            return F.greatest(F.lit(0.0), moved if self.cap is None else F.least(F.lit(float(self.cap)), moved))
-
-        if not self.steps:
-            return F.lit(float(self.start))
-        return F.aggregate(F.lit(self.steps).cast("array<array<double>>"), F.lit(float(self.start)), stepped)
+        return reduce(lambda rate, step: self.stepped(rate, posteriors, step), self.steps, F.lit(float(self.start)))
 
 
 def fit_rates(
@@ -187,8 +186,8 @@ def fit_rates(
     tokens, so very long rows neither set the step for all nor move further than short ones. In this scale a step of
     length one never overshoots, whatever the data. Longer ones (Barzilai-Borwein, from sums over the rows) are taken as
     long as the squares do not rise above those of the last steps, else the step is taken again with length one. After
-    each step rates are projected to the bounds. A step is one aggregate over the table; a row keeps no state, its rate
-    is replayed from the steps. Where a gap stays, ``reached`` is False and a warning names it.
+    each step rates are projected to the bounds. It ends at the targets, or when the last steps have gained no more than a
+    hundredth. A step is one aggregate over the table; a row keeps no state, its rate is replayed from the steps. Where a gap stays, ``reached`` is False and a warning names it.
     """
     n = len(targets)
     mass = [F.col(tokens) * F.col(posteriors)[i] for i in range(n)]
@@ -209,11 +208,10 @@ def fit_rates(
     for _ in range(MAX_STEPS):
         if (np.abs(got - want) / share).max(initial=0.0) <= TOLERANCE:
             break
-        before = rates.of(F.col(posteriors))
-        rates.steps.append((length * (got - want) / unit).tolist())
-        after = rates.of(F.col(posteriors))
         rows = members.select(*[m.alias(f"m{i}") for i, m in enumerate(mass)], F.col(tokens).alias("t"),
-                              before.alias("before"), after.alias("after"))
+                              F.col(posteriors).alias("p"), rates.of(F.col(posteriors)).alias("before"))
+        rates.steps.append((length * (got - want) / unit).tolist())
+        rows = rows.withColumn("after", rates.stepped(F.col("before"), F.col("p"), rates.steps[-1]))
         found = rows.agg(*[F.sum(F.col("after") * F.col(f"m{i}")) for i in range(n)],
                          F.sum(F.col("t") * (F.col("after") - F.col("before")) ** 2)).first()
         *there, moved = [x or 0.0 for x in found]
@@ -225,7 +223,8 @@ def fit_rates(
         gained, bent = past[-1] - squares(there), float(((there - got) ** 2 / unit).sum())
         got = there
         past.append(squares(got))
-        if moved <= 1e-12 * have.sum() or length == 1 and 0 <= gained <= 1e-7 * past[-2]:
+        stands = len(past) > LOOK_BACK and past[-1] > 0.99 * past[-1 - LOOK_BACK]
+        if moved <= 1e-12 * have.sum() or stands or length == 1 and 0 <= gained <= 1e-7 * past[-2]:
             break  # the bounds allow no more
         length = max(1.0, moved / bent) if bent > 0 else 1.0
     rates.expected = got.tolist()
