@@ -570,9 +570,9 @@ report AS (SELECT *, CASE WHEN deviation > 0.05 THEN 'drift_detected' ELSE 'stab
 """
 
 
-def stream_drift(spark, folder):
+def stream_drift(spark, folder, **options):
     reference = feature_stats(table(spark, folder, "events"), ["value"])
-    return jobs.drift_stream(event_stream(spark, folder), ["value"], reference, "1 day", "1 hour", threshold=0.05)
+    return jobs.drift_stream(event_stream(spark, folder), ["value"], reference, "1 day", "1 hour", threshold=0.05, **options)
 
 
 @query("drift_stream", STREAM_DRIFT + f"SELECT window_start, {DRIFT_COLS} FROM report")
@@ -590,12 +590,27 @@ def _outlier_stream(spark, folder):
     return jobs.run_available(jobs.outlier_stream(event_stream(spark, folder), bounds, "1 day", "1 hour"), label="outliers")
 
 
-@query("alert_stream", STREAM_DRIFT + """SELECT 'warning' AS severity, 'Data Drift Detected: value' AS title, message,
-  'drift_detector' AS source FROM report WHERE status = 'drift_detected'""")
+@query("alert_stream", STREAM_DRIFT + """, q AS (SELECT quantile_cont(value, 0.25) AS a, quantile_cont(value, 0.75) AS b FROM events),
+most AS (SELECT day, max(value) AS top, any_value(a - 3 * (b - a)) AS low, any_value(b + 3 * (b - a)) AS high FROM closed, q GROUP BY day
+  HAVING count(*) FILTER (value < a - 3 * (b - a) OR value > b + 3 * (b - a)) > 0)
+SELECT 'warning' AS severity, 'Data Drift Detected: value' AS title, message, 'drift_detector' AS source, 'value' AS feature,
+  window_start FROM report WHERE status = 'drift_detected'
+UNION ALL SELECT 'warning', 'Anomalous Prediction Detected',
+  printf('Prediction %.2f outside expected range [%.2f, %.2f]', top, low, high), 'anomaly_detection', 'value',
+  strftime(day, '%Y-%m-%d %H:%M:%S') FROM most WHERE top > high OR top < low""")
 def _alert_stream(spark, folder):
+    """Two reports and two rules in one stream: drifting windows, and windows whose largest value is beyond the fences."""
     path = new_path(spark, "alert-stream")
-    jobs.alert_stream(stream_drift(spark, folder), alerts.drift_alerts, path).awaitTermination()
-    return logs.read_alerts(spark, path).select("severity", "title", "message", "source")
+    bounds = fences(table(spark, folder, "events"), ["value"])
+    low, high = bounds["value"]
+    beyond = jobs.outlier_stream(event_stream(spark, folder), bounds, "1 day", "1 hour", keep_time=True)
+    found = jobs.unique_alerts([
+        (stream_drift(spark, folder, keep_time=True), alerts.drift_alerts),
+        (beyond, lambda rows, **options: alerts.anomaly_alerts(rows, low, high, prediction="max_value", **options)),
+    ])
+    jobs.alert_stream(found, lambda batch: batch, path).awaitTermination()
+    schema = "severity string, title string, message string, source string, feature string, window_start string"
+    return spark.read.schema(schema).option("recursiveFileLookup", True).json(path)
 
 
 @query("prediction_volume", f"""WITH {CLOSED}

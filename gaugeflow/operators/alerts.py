@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,13 +31,14 @@ def alert_rows(
     source: str = "system",
     data: dict[str, Column] | None = None,
     timestamp: Column | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One alert per row of ``df``; ``data`` becomes a JSON text."""
+    """One alert per row of ``df``; ``data`` becomes a JSON text. ``keep`` names columns to hand on."""
     payload = F.to_json(F.struct(*[c.alias(k) for k, c in data.items()])) if data else F.lit(None).cast("string")
     return df.select(
         F.lit(severity).alias("severity"), title.alias("title"), message.alias("message"),
         (timestamp if timestamp is not None else F.current_timestamp()).alias("timestamp"),
-        F.lit(source).alias("source"), payload.alias("data"),
+        F.lit(source).alias("source"), payload.alias("data"), *keep,
     )
 
 

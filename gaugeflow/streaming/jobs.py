@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,16 @@ from gaugeflow.sources.logs import TIME_FORMAT
 from gaugeflow.storage import new_path
 
 
+#: Time of a window that reports hand on, and what tells one alert from another.
+EVENT_TIME, ALERT_KEY = "event_time", ("source", "feature", "window_start")
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """State of windows and seen alerts in RocksDB, so that it may exceed the executors' memory. For new checkpoints."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKS)
+
+
 def utc_time(c: Column) -> Column:
     """Time without zone, read as UTC, as an instant that watermarks accept."""
     return F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp")
@@ -46,16 +57,20 @@ def window_start(c: str = "window") -> Column:
 
 def drift_stream(
     rows: DataFrame, columns: Sequence[str], reference: DataFrame, window: str, late: str,
-    time: str = "ts", threshold: float = fv.DRIFT_THRESHOLD,
+    time: str = "ts", threshold: float = fv.DRIFT_THRESHOLD, keep_time: bool = False,
 ) -> DataFrame:
-    """Drift report per closed window. All columns share one windowed aggregate."""
+    """Drift report per closed window. All columns share one windowed aggregate.
+
+    ``keep_time`` adds ``event_time``, the time of the window, on which further stateful steps can rest.
+    """
+    held = [F.window_time("window").alias(EVENT_TIME)] if keep_time else []
     wide = rows.withWatermark(time, late).groupBy(F.window(time, window)).agg(*[
         agg.alias(f"{name}{i}") for i, c in enumerate(columns)
         for name, agg in (
             ("mean", F.avg(quoted(c))), ("std", F.stddev_samp(quoted(c))), ("n", F.count(quoted(c))),
         )
     ])
-    long = wide.select(window_start().alias("window_start"), F.inline(F.array(*[
+    long = wide.select(*held, window_start().alias("window_start"), F.inline(F.array(*[
         F.struct(
             F.lit(c).alias("feature"), F.col(f"mean{i}").alias("current_mean"), F.col(f"std{i}").alias("current_std"),
             F.col(f"n{i}").alias("n_samples"),
@@ -64,14 +79,16 @@ def drift_stream(
     ])))
     return judged(reference_stats_join(long, reference), threshold).select(
         "window_start", "feature", "status", "ref_mean", "current_mean", "ref_std", "current_std", "deviation",
-        "n_samples", "message",
+        "n_samples", "message", *([EVENT_TIME] if keep_time else []),
     )
 
 
 def outlier_stream(
-    rows: DataFrame, bounds: Mapping[str, tuple[float, float]], window: str, late: str, time: str = "ts"
+    rows: DataFrame, bounds: Mapping[str, tuple[float, float]], window: str, late: str, time: str = "ts",
+    keep_time: bool = False,
 ) -> DataFrame:
-    """Values beyond the fitted fences per closed window and column."""
+    """Values beyond the fitted fences per closed window and column. ``keep_time`` as in ``drift_stream``."""
+    held = [F.window_time("window").alias(EVENT_TIME)] if keep_time else []
     cols = list(bounds)
     wide = rows.withWatermark(time, late).groupBy(F.window(time, window)).agg(*[
         agg.alias(f"{name}{i}") for i, c in enumerate(cols)
@@ -80,7 +97,7 @@ def outlier_stream(
             ("n", F.count(quoted(c))), ("min", F.min(quoted(c))), ("max", F.max(quoted(c))),
         )
     ])
-    return wide.select(window_start().alias("window_start"), F.inline(F.array(*[
+    return wide.select(*held, window_start().alias("window_start"), F.inline(F.array(*[
         F.struct(
             F.lit(c).alias("feature"), F.col(f"out{i}").alias("outlier_count"), F.col(f"n{i}").alias("n_values"),
             F.col(f"min{i}").alias("min_value"), F.col(f"max{i}").alias("max_value"),
@@ -107,7 +124,11 @@ AVAILABLE = {"availableNow": True}
 
 
 def run_available(stream: DataFrame, path: str | None = None, label: str = "stream", form: str = "parquet") -> DataFrame:
-    """Process what is there, append to files with a checkpoint, and read the result."""
+    """Process what is there, append to files with a checkpoint, and read the result.
+
+    Called again with the same path it goes on where it stopped. Rows that came too late are counted in the parquet table
+    ``{path}-late``, one row per batch and stateful step.
+    """
     spark = stream.sparkSession
     path = path or new_path(spark, label)
     query = (
@@ -115,14 +136,33 @@ def run_available(stream: DataFrame, path: str | None = None, label: str = "stre
         .outputMode("append").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    note_late_rows(query, spark, f"{path}-late")
     return spark.read.schema(stream.schema).format(form).load(path)
 
 
+def unique_alerts(
+    sources: Sequence[tuple[DataFrame, Callable[..., DataFrame]]], repeats: str | None = None,
+) -> DataFrame:
+    """Alerts of several report streams and their rules as one stream, each (source, feature, window) once.
+
+    A report stream has ``feature``, ``window_start`` and ``event_time``. A report that comes again, in the same batch or a
+    later one, by replay or by mistake, gives no second alert: the keys of alerts stand in the state store until the
+    watermark has passed them. Windows of the library's own streams carry their watermark; for reports from elsewhere
+    ``repeats`` tells how late a repeat may come. A rule is called with ``keep``, the columns it has to hand on.
+    """
+    keys = ["feature", "window_start", EVENT_TIME]
+    found = []
+    for reports, rule in sources:
+        timed = reports.withWatermark(EVENT_TIME, repeats) if repeats else reports
+        found.append(rule(timed, keep=keys, timestamp=F.current_timestamp()))
+    return reduce(DataFrame.unionByName, found).dropDuplicatesWithinWatermark(list(ALERT_KEY))
+
+
 def alert_stream(
     reports: DataFrame, to_alerts: Callable[[DataFrame], DataFrame], log_path: str, minimum: str = "warning",
     checkpoint: str | None = None, trigger: Mapping[str, object] = AVAILABLE,
 ) -> StreamingQuery:
-    """Append the alerts of each micro-batch to the alert log.
+    """Append the alerts of each micro-batch to the alert log. For a stream of ``unique_alerts`` the rule is the identity.
 
     A batch replayed after a failure goes to the same folder and replaces its earlier output, so no alert is
     logged twice. Folders carry the place of the checkpoint, so a stream with a new one leaves earlier alerts alone.
@@ -142,6 +182,22 @@ def alert_stream(
     )
 
 
+PROGRESS = "batch long, operator int, name string, rows_total long, rows_dropped_late long"
+
+
+def late_rows(query: StreamingQuery) -> list[tuple]:
+    """One row per batch and stateful step of a query, as far as Spark keeps its progress: rows in state, late rows."""
+    return [
+        (p["batchId"], i, step["operatorName"], step["numRowsTotal"], step["numRowsDroppedByWatermark"])
+        for p in query.recentProgress for i, step in enumerate(p["stateOperators"])
+    ]
+
+
+def note_late_rows(query: StreamingQuery, spark: SparkSession, path: str) -> None:
+    """Add what ``late_rows`` tells of a finished run to the table at ``path``."""
+    spark.createDataFrame(late_rows(query), PROGRESS).coalesce(1).write.mode("append").parquet(path)
+
+
 def score_stream(
     rows: DataFrame, score: Callable[[DataFrame], DataFrame], path: str, checkpoint: str | None = None,
     trigger: Mapping[str, object] = AVAILABLE,
