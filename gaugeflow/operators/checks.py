@@ -47,20 +47,30 @@ def range_check_by_type(
         ladder_line(quoted(type_col), fv.VALUE_BOUNDS).alias("value_line"),
         ladder_line(quoted(type_col), fv.LIMIT_BOUNDS).alias("limit_line"),
     )
-    judged = []
-    for i, c in enumerate(cols):
+    bounds = []
+    for c in cols:
         ladder = bounds_ladder(c)
-        low, high = line_bounds(F.col("value_line" if ladder is fv.VALUE_BOUNDS else "limit_line"), ladder)
-        judged.append(F.struct(F.lit(c).alias("column"), F.col(f"v{i}").alias("v"), low.alias("low"), high.alias("high")))
-    long = lined.select("type", F.inline(F.array(*judged))).where(F.col("v").isNotNull())
-    outside = (F.col("v") < F.col("low")) | (F.col("v") > F.col("high"))
-    counts = long.groupBy("column", "type", "low", "high").agg(
-        F.count("*").alias("n_values"),
-        F.count_if(outside).alias("n_outside"),
-        F.min(F.when(outside, F.col("v"))).alias("outside_min"),
-        F.max(F.when(outside, F.col("v"))).alias("outside_max"),
+        bounds.append(line_bounds(F.col("value_line" if ladder is fv.VALUE_BOUNDS else "limit_line"), ladder))
+    far = [F.when((F.col(f"v{i}") < low) | (F.col(f"v{i}") > high), F.col(f"v{i}")) for i, (low, high) in enumerate(bounds)]
+    # One wide aggregate per type; only its few lines become rows of the report.
+    wide = lined.groupBy("type", "value_line", "limit_line").agg(*[
+        agg.alias(f"{name}{i}") for i in range(len(cols)) for name, agg in (
+            ("n", F.count(f"v{i}")), ("out", F.count(far[i])), ("min", F.min(far[i])), ("max", F.max(far[i])),
+        )
+    ])
+    counts = wide.select("type", F.inline(F.array(*[
+        F.struct(
+            F.lit(c).alias("column"), low.alias("low"), high.alias("high"), F.col(f"n{i}").alias("n_values"),
+            F.col(f"out{i}").alias("n_outside"), F.col(f"min{i}").alias("outside_min"), F.col(f"max{i}").alias("outside_max"),
+        ) for i, (c, (low, high)) in enumerate(zip(cols, bounds))
+    ]))).where(F.col("n_values") > 0)
+    # Samples come from the offending cells alone.
+    offenders = lined.select("type", F.array(*[
+        F.struct(F.lit(c).alias("column"), far[i].alias("v")) for i, c in enumerate(cols)
+    ]).alias("cells")).where(F.exists("cells", lambda x: x["v"].isNotNull())).select(
+        "type", F.inline(F.filter("cells", lambda x: x["v"].isNotNull()))
     )
-    first = first_k_samples(long.where(outside).select("column", "type", "v"), ["column", "type"], "v", samples)
+    first = first_k_samples(offenders.select("column", "type", "v"), ["column", "type"], "v", samples)
     picked = first.groupBy("column", "type").agg(F.sort_array(F.collect_list("v")).alias("samples"))
     pct = percent(F.col("n_outside"), F.col("n_values"))
     report = counts.join(picked, ["column", "type"], "left").select(

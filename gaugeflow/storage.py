@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Statistics up to this number of bytes, as written, are broadcast.
@@ -50,6 +51,15 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return kept
 
 
+def materialise_observed(df: DataFrame, label: str, metrics: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """``materialise``, with aggregates of all rows taken while they are written, at no pass of their own."""
+    if not metrics:
+        return materialise(df, label), {}
+    seen = Observation(f"{label}-{uuid.uuid4().hex}")
+    kept = materialise(df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), label)
+    return kept, seen.get
+
+
 def free(df: DataFrame) -> None:
     """Delete the table behind a result of ``materialise`` as soon as nothing reads it any more."""
     path = getattr(df, "kept_at", None)
