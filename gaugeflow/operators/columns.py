@@ -9,12 +9,14 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow import fixed_values as fv
 from gaugeflow.functions.scalars import (
-    as_number, clipped, coordinate, flag, normalised_text, numeric_columns, quoted, text_columns, to_number,
+    as_number, clipped, coordinate, flag, normalised_text, quoted, text_columns, to_number,
 )
 
+TIME_TYPES = (T.DateType, T.TimestampType, T.TimestampNTZType)
 
 def replace_columns(df: DataFrame, changed: Mapping[str, Column]) -> DataFrame:
     """Replace or add columns in one projection, keeping the column order."""
@@ -95,11 +97,28 @@ def clip_range(
 
 
 def drop_non_numeric(df: DataFrame) -> DataFrame:
-    return df.select(*[quoted(c) for c in numeric_columns(df)])
+    """Numbers, dates and times stay as they are, booleans become 0 and 1; text and nested columns go."""
+    kept = []
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.BooleanType):
+            kept.append(quoted(field.name).cast("int").alias(field.name))
+        elif isinstance(field.dataType, (T.NumericType, *TIME_TYPES)):
+            kept.append(quoted(field.name))
+    return df.select(*kept)
 
 
 def ensure_all_numeric(df: DataFrame, max_coerced: int | None = None) -> DataFrame:
-    """Read text columns as numbers. With ``max_coerced``, only the first ones; every further one is dropped."""
+    """Read text columns as numbers. With ``max_coerced``, only the first ones; every further one is dropped.
+
+    Booleans become 0 and 1, dates and times seconds since 1970.
+    """
+    others = {}
+    for field in df.schema.fields:
+        if isinstance(field.dataType, T.BooleanType):
+            others[field.name] = quoted(field.name).cast("int")
+        elif isinstance(field.dataType, TIME_TYPES):
+            others[field.name] = quoted(field.name).cast("timestamp").cast("double")
+    df = replace_columns(df, others)
     text = text_columns(df)
     coerced = text if max_coerced is None else text[:max_coerced]
     df = replace_columns(df, {c: to_number(quoted(c)) for c in coerced})

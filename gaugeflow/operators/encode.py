@@ -82,11 +82,8 @@ def topk_bucket(df: DataFrame, column: str, k: int = fv.TOP_CATEGORIES, output:
 def assemble_features(df: DataFrame, target: str, skip: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """Features vector of all columns but the target, in order, with the target as label."""
     names = [c for c in df.columns if c != target and c not in skip]
-    safe = df.select(*[quoted(c).alias(c.replace(".", "_")) for c in [*names, target]],
+    inputs = [f"__f{i}" for i in range(len(names))]  # plain names, so columns like a.b and a_b can stand together
+    safe = df.select(*[quoted(c).alias(n) for c, n in zip(names, inputs)], quoted(target).cast("double").alias("label"),
                      *[quoted(c).alias(f"__keep_{c}") for c in keep])
-    inputs = [c.replace(".", "_") for c in names]
     out = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error").transform(safe)
-    return out.select(
-        "features", quoted(target.replace(".", "_")).cast("double").alias("label"),
-        *[quoted(f"__keep_{c}").alias(c) for c in keep],
-    )
+    return out.select("features", "label", *[quoted(f"__keep_{c}").alias(c) for c in keep])

@@ -120,3 +120,28 @@ def test_a_wanted_number_of_text_columns_is_read(spark):
     out = ops.ensure_all_numeric(df, max_coerced=10)
     assert out.columns == [f"c{i}" for i in range(10)] + ["n"]
     assert set(dict(out.dtypes).values()) == {"double", "int"}
+
+
+def test_booleans_and_times_stay_in_the_feature_table(spark):
+    df = spark.sql("SELECT true AS b, DATE'2024-01-02' AS d, TIMESTAMP_NTZ'2024-01-02 03:00:00' AS t, 'x' AS s, 1.5D AS v, array(1) AS a")
+    kept = ops.drop_non_numeric(df)
+    assert dict(kept.dtypes) == {"b": "int", "d": "date", "t": "timestamp_ntz", "v": "double"} and kept.first()["b"] == 1
+    numbers = ops.ensure_all_numeric(kept).first()
+    assert numbers["d"] == 1704153600.0 and numbers["t"] - numbers["d"] == 3 * 3600
+
+
+def test_clashing_names_are_assembled(spark):
+    from gaugeflow.operators.encode import assemble_features
+
+    df = spark.createDataFrame([(1.0, 2.0, 3.0, 4.0)], "`a.b` double, a_b double, label double, `x.y` double")
+    row = assemble_features(df, "x.y", keep=["a.b"]).first()
+    assert row["features"].toArray().tolist() == [1.0, 2.0, 3.0] and row["label"] == 4.0 and row["a.b"] == 1.0
+
+
+def test_metrics_are_observed_while_a_table_is_written(spark):
+    from gaugeflow.storage import materialise_observed
+
+    df = spark.range(100, numPartitions=7).selectExpr("id", "IF(id % 4 = 0, NULL, id) AS v")
+    kept, seen = materialise_observed(df, "seen", {"rows": F.count("*"), "gaps": F.count_if(F.col("v").isNull())})
+    assert kept.count() == 100 and seen == {"rows": 100, "gaps": 25}
+    assert materialise_observed(df.limit(0), "none", {"rows": F.count("*")})[1] == {"rows": 0}
