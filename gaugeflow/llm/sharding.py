@@ -6,12 +6,12 @@ import math
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gaugeflow.functions.scalars import quoted
-from gaugeflow.llm.tables import text_bytes
 from gaugeflow.storage import materialise
 
-#: Text bytes of one bucket, which a task holds in memory; raise it with the memory of the executors.
+#: Bytes of one bucket, which a task holds in memory; raise it with the memory of the executors.
 BUCKET_BYTES = 16 << 20
 #: Bucket offsets are broadcast up to this number of buckets (16 bytes each).
 BROADCAST_BUCKETS = 1_000_000
@@ -23,6 +23,21 @@ def _before(entry_a, entry_b):
     return F.when(a < b, -1).when(a > b, 1).otherwise(0)
 
 
+def row_bytes(rows: DataFrame) -> int:
+    """About the bytes that all rows take in memory: texts as they are, nested columns as JSON, 8 for any other column,
+    and 48 for each row, so that many small or empty rows count too."""
+    sizes = [F.lit(48)]
+    for field in rows.schema.fields:
+        column = quoted(field.name)
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(column), F.lit(0)) + 16)
+        elif isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.coalesce(F.octet_length(F.to_json(F.struct(column))), F.lit(0)))
+        else:
+            sizes.append(F.lit(8))
+    return rows.agg(F.sum(sum(sizes[1:], sizes[0]).cast("long"))).first()[0] or 0
+
+
 def shuffle_into_shards(
     docs: DataFrame,
     n_shards: int,
@@ -35,7 +50,7 @@ def shuffle_into_shards(
 ) -> DataFrame:
     """All rows and columns of ``docs`` in random order, with ``shard`` (from 0) and ``slot`` (gapless from 0 in a shard).
 
-    Pass one scatters rows by a seeded hash of id and text into buckets of about ``bucket_bytes``: rows of one source or
+    Pass one scatters rows by a seeded hash of id and text into buckets of about ``bucket_bytes``, all columns counted: rows of one source or
     one text are spread, only full repeats of an id with its text share a bucket. Pass two shuffles each bucket with
     Spark's seeded ``shuffle`` of an array, a Fisher-Yates shuffle, and writes it; the order is fixed from then on. The
     rank of a row is the number of rows in earlier buckets plus its place, rank modulo ``n_shards`` is its shard, so
@@ -44,8 +59,8 @@ def shuffle_into_shards(
     Ids, texts and other columns may be null or repeated. An empty table gives no rows. Input columns named like
     ``shard`` or ``slot`` are replaced.
     """
-    buckets = max(1, math.ceil(text_bytes(docs, text) / bucket_bytes))
     names = [c for c in docs.columns if c not in (shard, slot)]
+    buckets = max(1, math.ceil(row_bytes(docs.select(*[quoted(c) for c in names])) / bucket_bytes))
     key = F.xxhash64(F.lit(seed), quoted(doc_id), quoted(text))
     place = F.xxhash64(F.lit(seed + 1), quoted(doc_id), quoted(text))
     scattered = docs.select(

@@ -35,6 +35,18 @@ def test_shards_empty_table_and_mixing_of_order(no_docs, spark):
     assert abs(np.corrcoef(order, np.arange(4000))[0, 1]) < 0.1
 
 
+def test_buckets_follow_rows_and_all_columns(spark):
+    """Empty texts, and small texts beside wide columns, make many buckets too."""
+    empty = spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit(None).cast("string").alias("text"))
+    wide = spark.range(200).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), F.repeat(F.lit("x"), 9000).alias("more"),
+                                   F.sequence(F.lit(0), F.lit(500)).alias("numbers"))
+    for docs, least in ((empty, 20_000 * 60), (wide, 200 * 9500)):
+        assert sharding.row_bytes(docs) > least
+        got = sharding.shuffle_into_shards(docs, 3, bucket_bytes=50_000)
+        sizes = [r["count"] for r in got.groupBy("shard").count().collect()]
+        assert sum(sizes) == docs.count() and max(sizes) - min(sizes) <= 1
+
+
 def test_shards_are_written_in_order(spark, tmp_path, documents):
     shards = sharding.shuffle_into_shards(documents.select("doc_id", "text"), 5)
     sharding.write_shards(shards, str(tmp_path / "shards"), rows_per_file=30)
