@@ -56,7 +56,10 @@ def train_run(
     model = learner(given)
     fit_rows = train_val(parts)
     search = random_search(model, fit_rows, features, target, row_id, grid, draws, folds, seed) if grid else []
-    cv = cross_validate(model, fit_rows, features, target, row_id, folds, seed=seed)[0] if validate else None
+    # The search has validated its best settings on these folds already.
+    cv = None if not validate else search[0] if search else cross_validate(
+        model, fit_rows, features, target, row_id, folds, seed=seed
+    )[0]
     model.fit(fit_rows, features, target)
     scored = model.predict(parts.where(F.col("split") == "test"), keep=[target])
     metrics = regression_metrics(scored, "prediction", target, cv["rmse"] if cv else None).first().asDict()
