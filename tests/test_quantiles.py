@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from gaugeflow.operators.quantiles import quantile_values, quantiles
+from gaugeflow.operators.quantiles import _Search, quantile_values, quantiles
 
 PROBS = [0.0, 0.005, 0.25, 1 / 3, 0.5, 0.66, 0.99, 1.0]
 
@@ -100,3 +100,24 @@ def test_no_row_is_multiplied_and_three_scans_do(spark, monkeypatch, tmp_path):
     for i, row in found.items():
         values = np.array([r[0] for r in df.select(i).collect()])
         assert row == pytest.approx(brute(values, [0.01, 0.5, 0.99]), rel=1e-12)
+
+
+@pytest.mark.parametrize("keys", [[], ["k0"]])
+@pytest.mark.parametrize("gather", [True, False])
+def test_only_rows_inside_a_bracket_are_sketched_or_gathered(spark, keys, gather):
+    """Counts of all rows are an aggregate of their own, which Spark compiles; sketches and lists see filtered rows."""
+    values = spark.range(3000).selectExpr("string(id % 3) as k0", "double(id) as v0").select(*keys, "v0")
+    search = _Search(values, keys, 1, [0.25, 0.5], 30, 200)
+    brackets = search.started()
+    plan = search.measured(brackets, gather)._jdf.queryExecution().optimizedPlan().toString()
+    slow = [line for line in plan.splitlines() if "collect_list(" in line or "kll_sketch_agg_double(" in line]
+    assert slow and not any("count(" in line for line in slow)
+
+
+def test_group_without_a_value_inside_its_bracket(spark):
+    """One group of equal values and one of a single row beside a wide one."""
+    rows = [("same", 4.0)] * 400 + [("one", 7.0), ("none", None)] + [("wide", float(i)) for i in range(2000)]
+    found = quantiles(spark.createDataFrame(rows, "g string, v double"), ["v"], [0.1, 0.5], ["g"], inside_values=20, sketch=100)[0]
+    got = {r["g"]: r["v"] for r in found.collect()}
+    assert got.pop("wide") == pytest.approx([199.9, 999.5])
+    assert got == {"same": [4.0, 4.0], "one": [7.0, 7.0], "none": None}
