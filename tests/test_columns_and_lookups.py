@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from gaugeflow.functions.scalars import to_number, type_bounds
 from gaugeflow.operators import columns as ops
-from gaugeflow.operators import lookups
+from gaugeflow.operators import checks, lookups
 from gaugeflow.sources.files import read_indicators, write_features_csv
 
 
@@ -145,3 +145,24 @@ def test_metrics_are_observed_while_a_table_is_written(spark):
     kept, seen = materialise_observed(df, "seen", {"rows": F.count("*"), "gaps": F.count_if(F.col("v").isNull())})
     assert kept.count() == 100 and seen == {"rows": 100, "gaps": 25}
     assert materialise_observed(df.limit(0), "none", {"rows": F.count("*")})[1] == {"rows": 0}
+
+
+def test_copies_are_counted_by_short_keys_that_tell_all_rows_apart(spark):
+    nan = float("nan")
+    rows = [("a", None, 1.0), (None, "a", 1.0), ("ab", "c", 1.0), ("a", "bc", 1.0), ("a", "bc", 1.0), ("", None, 0.0),
+            (None, "", 0.0), ("x", "y", nan), ("x", "y", nan), ("x", "y", 0.0), ("x", "y", -0.0), (None, None, None)]
+    df = spark.createDataFrame(rows, "s string, t string, v double")
+    counted = lookups.count_duplicates(df)
+    assert counted.first().asDict() == {"n_rows": 12, "n_duplicates": 12 - df.distinct().count()}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [__d0" in plan and "Aggregate [s" not in plan
+
+
+def test_cleaning_report_counts_by_short_keys(spark):
+    before = spark.createDataFrame([("a", None), ("a", None), (None, "a"), ("b", "c")], "s string, t string")
+    after = before.distinct().selectExpr("*", "int(s = 'b') as DataValue_Extreme_Flag")
+    report = checks.cleaning_report(before, after)
+    assert report.first().asDict() == {
+        "rows_before": 4, "rows_after": 3, "rows_removed": 1, "columns_before": 2, "columns_after": 3, "nulls_before": 3,
+        "nulls_after": 3, "duplicates_removed": 1, "outliers_handled": 1}
+    assert "Aggregate [s" not in report._jdf.queryExecution().optimizedPlan().toString().split("Aggregate [__d0")[1]
