@@ -7,6 +7,7 @@ from gaugeflow.functions.scalars import quoted
 from gaugeflow.plans.clean import clean_data
 from gaugeflow.plans.engineer import engineer_features, fit_categories, add_features
 from gaugeflow.plans.full_run import prepare
+from gaugeflow.plans.indicator_view import indicator_view
 
 
 def test_cleaning_leaves_no_gap_and_no_copy(spark, small_table):
@@ -62,3 +63,18 @@ def test_prepare_raises_on_a_missing_column_and_writes_csv(spark, small_table, t
         prepare(small_table.drop("Topic"))
     out = prepare(small_table, csv_path=str(tmp_path / "csv"))
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == out.count()
+
+
+def test_lines_are_shuffled_twice_without_broadcasts(spark, folder):
+    """Once to their part and once to their order; customers and nations are joined on the side of the orders."""
+    limits = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for limit in limits:
+            spark.conf.set(limit, "-1")
+        plan = indicator_view(spark, folder)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        for limit in limits:
+            spark.conf.unset(limit)
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert len(joins) == 3 and sum("l_orderkey" in line or "l_partkey" in line for line in joins) == 2
+    assert not any("n_nationkey" in line for line in joins)
