@@ -139,6 +139,18 @@ def test_intervals_of_large_forests_are_the_same(spark, line, monkeypatch):
     assert forest.errors(rows, asked, 0) == pytest.approx(Regressor.errors(forest, rows, asked, 0))
 
 
+def test_a_fit_deals_rows_by_the_size_of_their_cached_form(spark, line, monkeypatch):
+    forest = Forest(settings=SMALL)
+    forest.features, forest.target = ["f1", "f2"], "target"
+    rows = forest.assembled(line.coalesce(1))
+    assert forest.dealt(rows).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(forests, "FIT_TASK_BYTES", 10_000)
+    dealt = forest.dealt(rows)
+    assert dealt.rdd.getNumPartitions() == 10  # 600 rows of 6 * 8 + 2 * 4 + 100 bytes
+    assert dealt.count() == 600 and dealt.select("label").exceptAll(rows.select("label")).isEmpty()
+    assert forest.fit(line.coalesce(1), ["f1", "f2"], "target").model.getNumTrees == 6
+
+
 def test_no_rows_have_no_interval(spark, line):
     forest = Forest(settings=SMALL).fit(line, ["f1", "f2"], "target")
     assert forest.predict_interval(line.limit(0), keep=["id"]).count() == 0
