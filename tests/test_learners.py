@@ -151,6 +151,42 @@ def test_a_fit_deals_rows_by_the_size_of_their_cached_form(spark, line, monkeypa
     assert forest.fit(line.coalesce(1), ["f1", "f2"], "target").model.getNumTrees == 6
 
 
+def test_a_forest_grows_in_batches_and_is_one_model(spark, line, monkeypatch, tmp_path):
+    whole, asked, places = Regressor.fit_rows, [], []
+
+    def watched(self, rows, weight=None):
+        asked.append((self.settings["numTrees"], self.settings["seed"]))
+        places.append(rows.storageLevel.useMemory)
+        return whole(self, rows, weight)
+
+    monkeypatch.setattr(Regressor, "fit_rows", watched)
+    monkeypatch.setattr(forests, "TREES_AT_ONCE", 3)
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
+    forest = Forest(settings={**SMALL, "numTrees": 8}).fit(line, ["f1", "f2"], "target")
+    assert sorted(n for n, _ in asked) == [2, 3, 3] and len({s for _, s in asked}) == 3 and (3, 3) in asked and all(places)
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
+    model = forest.model
+    assert model.getNumTrees == len(model.trees) == 8 and model.getOrDefault("maxDepth") == 6
+    first = RandomForestRegressor(**{**SMALL, "numTrees": 3}).fit(forest.assembled(line))
+    texts = [t.toDebugString.split("\n", 1)[1] for t in model.trees]
+    assert texts[:3] == [t.toDebugString.split("\n", 1)[1] for t in first.trees] and len(set(texts)) == 8
+    assert sum(forest.importances()) == pytest.approx(1)
+    registry.save_regressor(forest, spark, str(tmp_path), "batches", "1")
+    again = registry.load_regressor(spark, str(tmp_path), "batches", "1")
+    assert again.model.getNumTrees == 8
+    votes = again.predict_interval(line.where("id < 50"), keep=["id"]).orderBy("id").collect()
+    rows = forest.assembled(line.where("id < 50"), keep=["id"]).orderBy("id").collect()
+    assert [r["prediction"] for r in votes] == pytest.approx([np.mean([t.predict(r["features"]) for t in model.trees]) for r in rows])
+    scored = [r["prediction"] for r in forest.predict(line.where("id < 50"), keep=["id"]).orderBy("id").collect()]
+    assert scored == pytest.approx([r["prediction"] for r in votes])
+
+
+def test_batches_are_even_so_that_none_is_a_single_tree():
+    for trees, sizes in ((100, [20] * 5), (21, [11, 10]), (150, [19] * 6 + [18] * 2), (1, [1]), (20, [20])):
+        assert [b["numTrees"] for b in Forest({"numTrees": trees}).batches()] == sizes
+    assert [b["seed"] for b in Forest({"numTrees": 40, "seed": 7}).batches()] == [7, 7 + forests.SEED_STEP]
+
+
 def test_no_rows_have_no_interval(spark, line):
     forest = Forest(settings=SMALL).fit(line, ["f1", "f2"], "target")
     assert forest.predict_interval(line.limit(0), keep=["id"]).count() == 0
