@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import subprocess
 import sys
 from pathlib import Path
@@ -118,3 +119,19 @@ def test_nothing_is_left_after_the_end(tmp_path, configured):
     assert done.returncode == 0, done.stderr[-2000:]
     folder = done.stdout.rpartition("FOLDER ")[2].strip()
     assert not [name for name in os.listdir(folder) if name.startswith("gaugeflow")]
+
+
+def test_row_ids_of_wide_tables_are_compiled_and_keep_their_text(spark, capsys):
+    wide = storage.materialise(spark.range(20).select(
+        *[F.when(F.col("id") % 7 != i % 7, (F.col("id") + i) % 3 - F.lit(1 if i % 5 == 0 else 0)).cast(("int", "bigint")[i % 2])
+          .alias(f"flag {i}") for i in range(60)],
+        (F.col("id") / 4).alias("part"), (F.col("id") % 2 == 0).alias("even"),
+        F.when(F.col("id") > 3, F.concat(F.lit("1:0|"), "id")).otherwise("").alias("text"),
+    ), "wide")
+    told = split.with_row_hash(wide)
+    texts = [F.col(f"`{c}`").cast("string") for c in wide.columns]
+    marks = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    assert told.where(F.col("row_id") == F.md5(F.concat_ws("|", *marks))).count() == 20
+    told.explain(mode="codegen")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert all(n < 8000 for n in sizes), sizes  # larger methods are never compiled
