@@ -78,3 +78,18 @@ def test_lines_are_shuffled_twice_without_broadcasts(spark, folder):
     joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
     assert len(joins) == 3 and sum("l_orderkey" in line or "l_partkey" in line for line in joins) == 2
     assert not any("n_nationkey" in line for line in joins)
+
+
+def test_cleaning_keeps_no_table_but_the_last(spark, small_table):
+    """The table before deduplication goes once the next one is written, and tables are small: zstd."""
+    from gaugeflow.plans.clean import clean_data
+    from gaugeflow.storage import located, new_path
+
+    system, place = located(spark, new_path(spark, "x").rpartition("/")[0])
+    names = lambda: {s.getPath().getName() for s in system.listStatus(place)}
+    before = names()
+    cleaned = clean_data(small_table)
+    made = {n.partition("-")[0]: n for n in names() - before}
+    assert "deduplicated" in made and "coerced" not in made
+    files = [s.getPath().getName() for s in system.listStatus(located(spark, f"{place}/{made['deduplicated']}")[1])]
+    assert any(f.endswith(".zstd.parquet") for f in files) and cleaned.count() == 100
